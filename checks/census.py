@@ -7,6 +7,7 @@ Measures are whole numbers computed from the key, by one text both engines read.
 
 from __future__ import annotations
 
+from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
 
 from checks.registry import Tables, check
@@ -14,6 +15,8 @@ from tractwise.columns import (
     EXPOSURES, EXPOSURE_TOTAL, FEATURES, GRADUATES, INDUSTRY_COLUMNS, LEAKS, MEASURE, MINORS,
     NUMERIC_FEATURES, SENIORS, SHARE,
 )
+from tractwise.operators.boundaries import simplify_boundaries
+from tractwise.operators.models import MAX_BINS
 from tractwise.plans import importance, scenarios, staging
 
 PARTS = ["unemployed_pop", "not_in_labor_force", "group_quarters", "in_school", *MINORS, *SENIORS]
@@ -133,6 +136,10 @@ def tracts(t: Tables) -> DataFrame:
     return staging.tract_all(tract_2017(t), tract_change(t), states(t))
 
 
+def stored_tracts(t: Tables) -> DataFrame:
+    return t.stored(tracts(t))
+
+
 def zips(t: Tables) -> DataFrame:
     return staging.zip_exposure(zip_2017(t), zip_change(t), zip_boundaries(t))
 
@@ -208,12 +215,16 @@ TRACT_WITH = f"""
 SCENARIOS = f"""select t.* exclude ({GRADUATES}), {GRADUATES} * pow(1.5, j) as {GRADUATES}
   from scenario_tracts t, generate_series(0, 5) g(j) where state in (select postal_code from states)"""
 
+# A NULL share counts as the training mean, in the fit and in every prediction.
 INCOME_FIT = f"""
   income_fit as (
-    select regr_slope(income_per_capita, {SHARE}) as slope,
-           regr_intercept(income_per_capita, {SHARE}) as icpt
-    from (select income_per_capita,
-                 coalesce({SHARE}, (select avg({SHARE}) from tract_all)) as {SHARE} from tract_all))"""
+    select regr_slope(income_per_capita, coalesce({SHARE}, mean)) as slope,
+           regr_intercept(income_per_capita, coalesce({SHARE}, mean)) as icpt, any_value(mean) as mean
+    from tract_all, (select avg({SHARE}) as mean from tract_all)),
+  predicted as (
+    select *, icpt + slope * coalesce({SHARE}, mean) as now,
+           icpt + slope * coalesce({SHARE} - 0.01, mean) as shifted
+    from disengaged, income_fit)"""
 
 OUTLINE_WITH = f"""
   points as (
@@ -290,8 +301,8 @@ def _(t):
 
 
 @check("max_not_in_labor_per_state", f"with {TRACT_WITH} select * from disengaged")
-def max_not_in_labor_per_state(t):
-    return scenarios.most_disengaged(tracts(t), states(t))
+def _(t):
+    return scenarios.most_disengaged(stored_tracts(t), states(t))
 
 
 @check("ml_input_automl_baseline", f"with {TRACT_WITH} select * from top_tracts")
@@ -299,38 +310,44 @@ def _(t):
     return scenarios.top_tracts(tracts(t))
 
 
-@check("max_automl_scenario", f"with {TRACT_WITH} select * from scenario_tracts")
-def scenario_tracts(t):
+def scenario_tracts(all_tracts, t):
     return scenarios.scenario_tracts(
-        scenarios.top_tracts(tracts(t)), scenarios.most_disengaged(tracts(t), states(t))
+        scenarios.top_tracts(all_tracts), scenarios.most_disengaged(all_tracts, states(t))
     )
 
 
+@check("max_automl_scenario", f"with {TRACT_WITH} select * from scenario_tracts")
+def _(t):
+    return scenario_tracts(stored_tracts(t), t)
+
+
 @check("ml_input_automl_scenarios", f"with {TRACT_WITH} {SCENARIOS}")
 def _(t):
-    return scenarios.graduate_scenarios(scenario_tracts(t), states(t))
+    return scenarios.graduate_scenarios(scenario_tracts(stored_tracts(t), t), states(t))
+
+
+def income_inputs(t):
+    all_tracts = stored_tracts(t)
+    model = scenarios.income_model(staging.tract_training(all_tracts))
+    disengaged = scenarios.most_disengaged(all_tracts, states(t))
+    return scenarios.economic_impact_input(disengaged, model), model
 
 
 @check("ml_input_econ_impact", f"""with {TRACT_WITH}, {INCOME_FIT}
-  select state, geo_id, {SHARE}, {MEASURE}, round(icpt + slope * {SHARE}, 3) as baseline_avg_income
-  from disengaged, income_fit""")
+  select state, geo_id, {SHARE}, {MEASURE}, round(now, 3) as baseline_avg_income from predicted""")
 def _(t):
-    model = scenarios.income_model(staging.tract_training(tracts(t)))
-    impact = scenarios.economic_impact_input(max_not_in_labor_per_state(t), model)
-    return impact.withColumn("baseline_avg_income", F.round("baseline_avg_income", 3))
+    inputs, _ = income_inputs(t)
+    return inputs.withColumn("baseline_avg_income", F.round("baseline_avg_income", 3))
 
 
 @check("economic_impact", f"""with {TRACT_WITH}, {INCOME_FIT}
   select state, geo_id,
     cast(round(0.01 * ({MEASURE} / nullif({SHARE}, 0))) as bigint) as new_labor_force,
-    round(icpt + slope * ({SHARE} - 0.01), 2) as new_income,
-    cast(round((icpt + slope * ({SHARE} - 0.01) - (icpt + slope * {SHARE}))
-         * ({MEASURE} / nullif({SHARE}, 0))) as bigint) as net_income_increase
-  from disengaged, income_fit""")
+    round(shifted, 2) as new_income,
+    cast(round((shifted - now) * ({MEASURE} / nullif({SHARE}, 0))) as bigint) as net_income_increase
+  from predicted""")
 def _(t):
-    model = scenarios.income_model(staging.tract_training(tracts(t)))
-    inputs = scenarios.economic_impact_input(max_not_in_labor_per_state(t), model)
-    return scenarios.economic_impact(inputs, model)
+    return scenarios.economic_impact(*income_inputs(t))
 
 
 @check("census_zip", f"with recursive {ZIP_WITH} select * from zip_exposure")
@@ -359,22 +376,32 @@ def _(t):
 
 @check("simplify_boundaries", f"with recursive {OUTLINE_WITH} select * from outlines")
 def _(t):
-    from tractwise.operators.boundaries import simplify_boundaries
     shapes = zip_boundaries(t).select("zip_code", "zip_code_geom")
     return outline_measures(simplify_boundaries(shapes, "zip_code_geom"), "zip_code_geom")
 
 
+def labor_model(training):
+    """The model search with a small budget: shallow trees, few of them."""
+    return scenarios.labor_model(training, candidates=[
+        LinearRegression(),
+        RandomForestRegressor(numTrees=5, maxDepth=4, maxBins=MAX_BINS, seed=7),
+        GBTRegressor(maxIter=5, maxDepth=3, maxBins=MAX_BINS, seed=7),
+    ])
+
+
 @check("automl_labor_scenarios")
 def _(t):
-    model = scenarios.labor_model(staging.tract_training(tracts(t)))
-    grid = scenarios.graduate_scenarios(scenario_tracts(t), states(t))
+    all_tracts = stored_tracts(t)
+    model = labor_model(staging.tract_training(all_tracts))
+    grid = scenarios.graduate_scenarios(scenario_tracts(all_tracts, t), states(t))
     return scenarios.scenario_report(grid, model)
 
 
 @check("feature_importance_by_state")
 def _(t):
-    training = staging.tract_training(tracts(t))
-    model = scenarios.labor_model(training)
-    top = scenarios.top_tracts(tracts(t))
-    predictions = importance.importance_predictions(top, training, model, permutations=4)
+    all_tracts = stored_tracts(t)
+    training = staging.tract_training(all_tracts)
+    predictions = importance.importance_predictions(
+        scenarios.top_tracts(all_tracts), training, labor_model(training), permutations=4
+    )
     return importance.ranked_importance(importance.importance_table(predictions))

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from tractwise.columns import MINORS, SENIORS
-from tractwise.functions.arithmetic import row_sum
 
 
 def prime_age_raw() -> Column:
     """People out of work or out of the labour force who are neither in group
     quarters, nor adult students, nor of retirement age. May be negative."""
-    idle = F.col("unemployed_pop") + F.col("not_in_labor_force") - F.col("group_quarters")
-    adult_students = F.col("in_school")
-    for minors in MINORS:
-        adult_students = adult_students - F.col(minors)
-    return idle - adult_students - row_sum(SENIORS)
+    adult_students = " - ".join(["in_school", *MINORS])
+    retired = " + ".join(SENIORS)
+    return F.expr(
+        "unemployed_pop + not_in_labor_force - group_quarters"
+        f" - ({adult_students}) - ({retired})"
+    )

@@ -92,15 +92,11 @@ def derived_population(
 
     ``raw`` is projected once and read by both results.
     """
-    raw = prime_age_raw() if raw is None else raw
     return (
-        df.withColumn("__raw", raw)
+        df.withColumn("__raw", prime_age_raw() if raw is None else raw)
         .withColumn("__share", safe_divide("__raw", total))
-        .select(
-            *df.columns,
-            clamp_at_zero("__raw").alias(count),
-            clamp_at_zero("__share").alias(share),
-        )
+        .withColumns({count: clamp_at_zero("__raw"), share: clamp_at_zero("__share")})
+        .drop("__raw", "__share")
     )
 
 

@@ -43,7 +43,7 @@ def argmax_rows(
     match = F.col(measure) == F.col("__best")
     for g, k in zip(group, keys):
         match = match & (F.col(g) == F.col(k))
-    return df.join(best, match, "inner").select(*df.columns)
+    return df.join(best, match, "inner").drop("__best", *keys)
 
 
 def top_k_rows(

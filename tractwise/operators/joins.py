@@ -115,7 +115,8 @@ def restrict_to(df: DataFrame, members: DataFrame, on: str, *, how: str = "left_
     """
     if how not in ("left_semi", "inner"):
         raise ValueError(f"how must be left_semi or inner, not {how!r}")
-    return df.join(members.select(on), on, how).select(*df.columns)
+    side = members.select(F.col(on).alias("__member"))
+    return df.join(side, F.col(on) == F.col("__member"), how).drop("__member")
 
 
 def union_all(*parts: DataFrame) -> DataFrame:

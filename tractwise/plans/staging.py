@@ -37,7 +37,7 @@ def zip_exposure(
         "zip_code_geom", tolerance_m=tolerance_m,
     ).withColumnRenamed("zip_code_geom", "zip_geom")
     base = cast_key_join(
-        census, change, left_key="geo_id", right_key="geo_id", keep=["median_income_diff"]
+        census.alias("census"), change, left_key="geo_id", right_key="geo_id", keep=["median_income_diff"]
     )
     joined = cast_key_join(
         base, outlines, left_key="geo_id", right_key="zip_code", keep=["state_name", "zip_geom"]
@@ -46,7 +46,7 @@ def zip_exposure(
         joined, EXPOSURES, total="total_vulnerable", total_of=EXPOSURE_TOTAL
     )
     return exposed.select(
-        "state_name", *census.columns, "median_income_diff",
+        "state_name", "census.*", "median_income_diff",
         *[out for _, _, out in EXPOSURES], "zip_geom", "total_vulnerable",
     )
 
@@ -75,15 +75,13 @@ def tract_all(census: DataFrame, change: DataFrame, states: DataFrame) -> DataFr
     """Tracts with state, income change and the prime-age measure. Tracts without
     an income change or a known state prefix are left out."""
     located = prefix_join(
-        census, states.select("fips", F.col("postal_code").alias("state")),
+        census.alias("census"), states.select("fips", F.col("postal_code").alias("state")),
         column="geo_id", prefix="fips", keep=["state"], length=STATE_PREFIX,
     )
     joined = cast_key_join(
         located, change, left_key="geo_id", right_key="geo_id", keep=["median_income_diff"]
     )
-    return derived_population(
-        joined.select("state", *census.columns, "median_income_diff")
-    )
+    return derived_population(joined.select("state", "census.*", "median_income_diff"))
 
 
 def tract_training(tracts: DataFrame) -> DataFrame:
