@@ -7,16 +7,14 @@ Measures are whole numbers computed from the key, by one text both engines read.
 
 from __future__ import annotations
 
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
 
-from checks.registry import Tables, check
+from checks.registry import Tables, check, small_candidates
 from tractwise.columns import (
     EXPOSURES, EXPOSURE_TOTAL, FEATURES, GRADUATES, INDUSTRY_COLUMNS, LEAKS, MEASURE, MINORS,
     NUMERIC_FEATURES, SENIORS, SHARE,
 )
 from tractwise.operators.boundaries import simplify_boundaries
-from tractwise.operators.models import MAX_BINS
 from tractwise.plans import importance, scenarios, staging
 
 PARTS = ["unemployed_pop", "not_in_labor_force", "group_quarters", "in_school", *MINORS, *SENIORS]
@@ -381,12 +379,7 @@ def _(t):
 
 
 def labor_model(training):
-    """The model search with a small budget: shallow trees, few of them."""
-    return scenarios.labor_model(training, candidates=[
-        LinearRegression(),
-        RandomForestRegressor(numTrees=5, maxDepth=4, maxBins=MAX_BINS, seed=7),
-        GBTRegressor(maxIter=5, maxDepth=3, maxBins=MAX_BINS, seed=7),
-    ])
+    return scenarios.labor_model(training, candidates=small_candidates())
 
 
 @check("automl_labor_scenarios")

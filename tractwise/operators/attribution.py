@@ -63,7 +63,8 @@ def sampled_attributions(
     permutations: int = 16,
     seed: int = 0,
 ) -> DataFrame:
-    """``keys`` (unique per row) and the struct of sampled Shapley values for any model.
+    """``keys`` and the struct of sampled Shapley values for any model. Keys that
+    do not identify a row fail the job.
 
     Each row is scored along ``permutations`` orders of its features: features
     before the current step have the row's value, the others the baseline's. A
@@ -97,6 +98,7 @@ def sampled_attributions(
         *[F.col(k).alias(n) for k, n in zip(keys, key_names)],
         F.get("__order", F.col("__step") - 1).alias("__gains"),
         F.get("__order", F.col("__step")).alias("__loses"),
+        (F.col("__round") + F.col("__step") == 1).alias("__first"),
         *[masked(i, name) for i, name in enumerate(features)],
     ))
     p = F.col(PREDICTION)
@@ -107,10 +109,12 @@ def sampled_attributions(
         ).alias(name)
         for i, name in enumerate(features)
     ]
-    summed = scored.groupBy(*key_names).agg(*credit)
+    summed = scored.groupBy(*key_names).agg(*credit, F.count_if("__first").alias("__rows"))
+    unique = F.when(F.col("__rows") == 1, F.struct(*features)).otherwise(
+        F.raise_error(F.lit(f"{list(keys)} do not identify a row"))
+    )
     return summed.select(
-        *[F.col(n).alias(k) for k, n in zip(keys, key_names)],
-        F.struct(*features).alias(STRUCT),
+        *[F.col(n).alias(k) for k, n in zip(keys, key_names)], unique.alias(STRUCT)
     )
 
 
@@ -138,30 +142,39 @@ def attributions_long(
 
 
 def rank_attributions(
-    long: DataFrame, *, keys: Sequence[str] = ("state_code", "tract")
+    table: DataFrame, *, keys: Sequence[str] = ("state_code", "tract")
 ) -> DataFrame:
-    """Add ``abs_value`` and ``rank`` within each row, largest first.
-
-    A window partition holds one row's features, however many rows a state has.
-    """
-    window = Window.partitionBy(*keys).orderBy(F.desc("abs_value"), F.asc("feature"))
-    return long.withColumn("abs_value", F.abs("importance")).withColumn(
-        "rank", F.row_number().over(window)
+    """Keys, ``feature``, ``importance``, ``abs_value`` and ``rank``, the largest
+    absolute value first. A row holds all its features, so they are sorted inside
+    the row and nothing is shuffled."""
+    entries = F.array(*[
+        F.struct(
+            F.col(c).isNull().alias("missing"), (-F.abs(c)).alias("order"),
+            F.lit(c).alias("feature"), F.col(c).alias("importance"),
+        )
+        for c in table.columns if c not in keys
+    ])
+    return table.select(*keys, F.posexplode(F.array_sort(entries)).alias("__at", "__entry")).select(
+        *keys, "__entry.feature", "__entry.importance",
+        F.abs("__entry.importance").alias("abs_value"), (F.col("__at") + 1).alias("rank"),
     )
 
 
 def transpose_attributions(
-    long: DataFrame, *, group: str = "state_code", row: str = "tract", slots: int = 2
+    table: DataFrame, *, group: str = "state_code", row: str = "tract", slots: int = 2
 ) -> DataFrame:
     """One row per group and feature, with columns ``tract_1 .. tract_n``.
 
     The first ``slots`` rows of a group (by id) become columns, as in a report on
-    its top rows; ``long`` itself keeps every row.
+    its top rows; ``attributions_long`` keeps every row. Rows are numbered before
+    they are turned, so only the numbered ones are.
     """
-    window = Window.partitionBy(group, "feature").orderBy(F.asc(row))
+    window = Window.partitionBy(group).orderBy(F.asc(row))
+    numbered = table.withColumn("__slot", F.row_number().over(window)).where(
+        F.col("__slot") <= slots
+    )
     wide = (
-        long.withColumn("__slot", F.row_number().over(window))
-        .where(F.col("__slot") <= slots)
+        attributions_long(numbered.drop(row), keys=(group, "__slot"))
         .groupBy(group, "feature")
         .pivot("__slot", list(range(1, slots + 1)))
         .agg(F.first("importance"))

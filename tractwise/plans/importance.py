@@ -7,8 +7,7 @@ from pyspark.sql import DataFrame
 
 from tractwise.columns import NUMERIC_FEATURES
 from tractwise.operators.attribution import (
-    attribution_table, attributions_long, rank_attributions, sampled_attributions,
-    training_baseline,
+    attribution_table, rank_attributions, sampled_attributions, training_baseline,
 )
 
 MODEL_FEATURES = ["state", *NUMERIC_FEATURES]
@@ -30,4 +29,4 @@ def importance_table(predictions: DataFrame) -> DataFrame:
 
 def ranked_importance(table: DataFrame) -> DataFrame:
     """State, tract, feature, importance, absolute value and rank."""
-    return rank_attributions(attributions_long(table)).withColumnRenamed("state_code", "state")
+    return rank_attributions(table).withColumnRenamed("state_code", "state")
