@@ -88,24 +88,25 @@ def sampled_attributions(
         .withColumn("__set", F.slice("__order", F.lit(1), F.col("__step")))
     )
 
+    types = {field.name: field.dataType for field in df.schema}
+
     def masked(i: int, name: str) -> Column:
-        own = F.col(f"__own_{i}")
-        absent = F.lit(baseline[name]).cast(df.schema[name].dataType)
-        return F.when(F.array_contains("__set", i), own).otherwise(absent).alias(name)
+        absent = F.lit(baseline[name]).cast(types[name])
+        present = F.expr(f"array_contains(__set, {i})")
+        return F.when(present, F.col(f"__own_{i}")).otherwise(absent).alias(name)
 
     key_names = [f"__key_{i}" for i in range(len(keys))]
     scored = model.transform(points.select(
         *[F.col(k).alias(n) for k, n in zip(keys, key_names)],
-        F.get("__order", F.col("__step") - 1).alias("__gains"),
-        F.get("__order", F.col("__step")).alias("__loses"),
-        (F.col("__round") + F.col("__step") == 1).alias("__first"),
+        F.expr("get(__order, __step - 1) as __gains"),
+        F.expr("get(__order, __step) as __loses"),
+        F.expr("__round = 1 and __step = 0 as __first"),
         *[masked(i, name) for i, name in enumerate(features)],
     ))
-    p = F.col(PREDICTION)
     credit = [
-        (
-            F.sum(F.when(F.col("__gains") == i, p).when(F.col("__loses") == i, -p).otherwise(0.0))
-            / permutations
+        F.expr(
+            f"sum(case when __gains = {i} then {PREDICTION}"
+            f" when __loses = {i} then -{PREDICTION} else 0D end) / {permutations}"
         ).alias(name)
         for i, name in enumerate(features)
     ]

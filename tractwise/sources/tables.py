@@ -29,12 +29,16 @@ def latest_schema(spark: SparkSession, prefix: str) -> str:
     return max(names)
 
 
-def replace_table(df: DataFrame, name: str) -> DataFrame:
+def replace_table(df: DataFrame, name: str, *, group: str | None = None) -> DataFrame:
     """Write ``df`` as table ``name``, replacing it, and return the stored table.
 
-    ``df`` must not read ``name`` itself; Spark refuses that.
+    With ``group`` there is one folder per group value, written in one job (see
+    ``write_grouped``). ``df`` must not read ``name`` itself; Spark refuses that.
     """
-    df.write.mode("overwrite").saveAsTable(name)
+    if group is None:
+        df.write.mode("overwrite").saveAsTable(name)
+    else:
+        df.hint("rebalance", group).write.mode("overwrite").partitionBy(group).saveAsTable(name)
     return df.sparkSession.table(name)
 
 
