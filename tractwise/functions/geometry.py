@@ -12,36 +12,56 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 EARTH_RADIUS_M = 6371008.8
 
+#: Vertices worked on at a time; one longer line is still taken whole.
+CHUNK_VERTICES = 1_000_000
 
-def kept_vertices(lon: np.ndarray, lat: np.ndarray, tolerance_m: float) -> np.ndarray:
-    """Mask of the vertices Douglas-Peucker keeps on one line or ring.
 
-    Distances are metres in an equirectangular projection around the line's own
-    mean latitude. End points always stay; a closed ring is split at its
-    vertex farthest from the start.
+def kept_vertices(
+    lon: np.ndarray, lat: np.ndarray, lengths: np.ndarray, tolerance_m: float
+) -> np.ndarray:
+    """Mask of the vertices Douglas-Peucker keeps on many lines or rings at once.
+
+    ``lengths`` are the vertex counts of the consecutive lines. Distances are
+    metres in an equirectangular projection around each line's mean latitude.
+    End points always stay; a closed ring is split at its vertex farthest from
+    the start. All open spans of all lines are measured together, one round per
+    level of splitting.
     """
+    lengths = lengths[lengths > 0]
     keep = np.zeros(len(lon), dtype=bool)
-    if len(lon) == 0:
+    if not len(lengths):
         return keep
+    first = np.cumsum(lengths) - lengths
+    last = first + lengths - 1
+    keep[first] = keep[last] = True
+    centre = np.add.reduceat(lat, first) / lengths
     y = np.radians(lat) * EARTH_RADIUS_M
-    x = np.radians(lon) * EARTH_RADIUS_M * np.cos(np.radians(lat.mean()))
-    keep[[0, -1]] = True
-    spans = [(0, len(lon) - 1)]
-    while spans:
-        first, last = spans.pop()
-        if last - first < 2:
-            continue
-        px, py = x[first + 1:last] - x[first], y[first + 1:last] - y[first]
+    x = np.radians(lon) * EARTH_RADIUS_M * np.cos(np.radians(np.repeat(centre, lengths)))
+    while True:
+        open_spans = last - first > 1
+        first, last = first[open_spans], last[open_spans]
+        if not len(first):
+            return keep
+        inner = last - first - 1
+        begin = np.cumsum(inner) - inner
+        span = np.repeat(np.arange(len(first)), inner)
+        vertex = np.arange(len(span)) + np.repeat(first + 1 - begin, inner)
         dx, dy = x[last] - x[first], y[last] - y[first]
         length2 = dx * dx + dy * dy
-        along = np.clip((px * dx + py * dy) / length2, 0.0, 1.0) if length2 > 0 else 0.0
-        away2 = (px - along * dx) ** 2 + (py - along * dy) ** 2
-        farthest = int(away2.argmax())
-        if away2[farthest] > tolerance_m * tolerance_m:
-            split = first + 1 + farthest
-            keep[split] = True
-            spans += [(first, split), (split, last)]
-    return keep
+        px, py = x[vertex] - x[first][span], y[vertex] - y[first][span]
+        along = (px * dx[span] + py * dy[span]) / np.where(length2 > 0, length2, 1.0)[span]
+        along = np.clip(along, 0.0, 1.0)
+        away2 = (px - along * dx[span]) ** 2 + (py - along * dy[span]) ** 2
+        farthest = np.maximum.reduceat(away2, begin)
+        at_farthest = np.flatnonzero(away2 == farthest[span])
+        _, leading = np.unique(span[at_farthest], return_index=True)
+        split = vertex[at_farthest[leading]]
+        beyond = farthest > tolerance_m * tolerance_m
+        split = split[beyond]
+        keep[split] = True
+        first, last = (
+            np.concatenate([first[beyond], split]), np.concatenate([split, last[beyond]])
+        )
 
 
 def simplify_arrow(shapes: pa.Array, tolerance_m: float) -> pa.Array:
@@ -54,10 +74,14 @@ def simplify_arrow(shapes: pa.Array, tolerance_m: float) -> pa.Array:
     else:
         lon = inner.field("lon").to_numpy(zero_copy_only=False)
         lat = inner.field("lat").to_numpy(zero_copy_only=False)
-        starts = np.concatenate([[0], np.cumsum(lengths)])
-        keep = np.zeros(len(inner), dtype=bool)
-        for begin, end in zip(starts[:-1], starts[1:]):
-            keep[begin:end] = kept_vertices(lon[begin:end], lat[begin:end], tolerance_m)
+        starts = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+        chunks = np.unique(starts[:-1] // CHUNK_VERTICES, return_index=True)[1]
+        keep = np.concatenate([
+            kept_vertices(
+                lon[starts[a]:starts[b]], lat[starts[a]:starts[b]], lengths[a:b], tolerance_m
+            )
+            for a, b in zip(chunks, [*chunks[1:], len(lengths)])
+        ]) if len(lengths) else np.zeros(0, dtype=bool)
         inner = inner.filter(pa.array(keep))
         kept_before = np.concatenate([[0], np.cumsum(keep)])
         lengths = kept_before[starts[1:]] - kept_before[starts[:-1]]

@@ -76,7 +76,7 @@ def sampled_attributions(
     """
     features = list(features)
     count = len(features)
-    shuffled = F.array_sort(F.transform(
+    shuffled = F.sort_array(F.transform(
         F.sequence(F.lit(0), F.lit(count - 1)),
         lambda i: F.struct(F.xxhash64(F.lit(seed), *keys, F.col("__round"), i).alias("h"), i.alias("i")),
     ))
@@ -155,7 +155,7 @@ def rank_attributions(
         )
         for c in table.columns if c not in keys
     ])
-    return table.select(*keys, F.posexplode(F.array_sort(entries)).alias("__at", "__entry")).select(
+    return table.select(*keys, F.posexplode(F.sort_array(entries)).alias("__at", "__entry")).select(
         *keys, "__entry.feature", "__entry.importance",
         F.abs("__entry.importance").alias("abs_value"), (F.col("__at") + 1).alias("rank"),
     )
