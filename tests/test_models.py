@@ -50,6 +50,19 @@ def test_categories_unseen_or_null(table):
     assert predict(table.where("state is null"), model).count() > 0
 
 
+def test_category_effects_are_exact_means(spark):
+    data = [("x", 1.0), ("x", 3.0), ("y", 10.0), ("z", 0.1), ("z", 0.3)]
+    for extra in ([], [(None, 50.0), (None, 70.0)]):
+        df = spark.createDataFrame(data + extra, "g string, y double")
+        model = fit_linear(df, label="y", numeric=[], categorical=["g"])
+        got = {r.g: r.predicted_label for r in predict(df, model).collect()}
+        expected = {"x": 2.0, "y": 10.0, "z": 0.2, **({None: 60.0} if extra else {})}
+        assert got == pytest.approx(expected, abs=1e-9)
+    single = spark.createDataFrame([("x", 1.0, 1.0), ("x", 2.0, 3.0), ("x", 3.0, 5.0)], "g string, v double, y double")
+    model = fit_linear(single, label="y", numeric=["v"], categorical=["g"])
+    assert predict(single, model).orderBy("v").first().predicted_label == pytest.approx(1.0)
+
+
 def test_what_if_effect_is_the_same_for_every_row(table, linear):
     rows = table.where("percent_not_in_labor_force is not null")
     inputs = baseline_prediction(rows, linear)

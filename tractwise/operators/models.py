@@ -10,7 +10,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler, VectorSlicer
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
 
@@ -25,25 +25,46 @@ VECTOR = "__features"
 MAX_BINS = 128
 
 
-def _feature_stages(numeric: Sequence[str], categorical: Sequence[str], one_hot: bool) -> list:
-    """Stages that assemble ``VECTOR``: NULL numbers become the training mean,
-    unseen or NULL categories a category of their own."""
-    stages, inputs = [], []
-    if numeric:
-        filled = [f"__filled_{c}" for c in numeric]
-        stages.append(Imputer(strategy="mean", inputCols=list(numeric), outputCols=filled))
-        inputs += filled
-    if categorical:
-        indexed = [f"__index_{c}" for c in categorical]
-        stages.append(
-            StringIndexer(inputCols=list(categorical), outputCols=indexed, handleInvalid="keep")
-        )
-        if one_hot:
-            hot = [f"__hot_{c}" for c in categorical]
-            stages.append(OneHotEncoder(inputCols=indexed, outputCols=hot))
-            indexed = hot
-        inputs += indexed
-    return [*stages, VectorAssembler(inputCols=inputs, outputCol=VECTOR)]
+def _numeric_stages(numeric: Sequence[str]) -> tuple[list, list[str]]:
+    """NULL numbers become the training mean."""
+    filled = [f"__filled_{c}" for c in numeric]
+    if not numeric:
+        return [], []
+    return [Imputer(strategy="mean", inputCols=list(numeric), outputCols=filled)], filled
+
+
+def _index_stages(categorical: Sequence[str]) -> tuple[list, list[str]]:
+    """Unseen or NULL categories become a category of their own."""
+    indexed = [f"__index_{c}" for c in categorical]
+    if not categorical:
+        return [], []
+    indexer = StringIndexer(
+        inputCols=list(categorical), outputCols=indexed, handleInvalid="keep"
+    )
+    return [indexer], indexed
+
+
+def _one_hot_stages(rows: DataFrame, categorical: Sequence[str]) -> tuple[list, list[str]]:
+    """Indicators of all categories but one, so that they do not add up to the
+    intercept: without NULLs in the training rows the most frequent category has
+    none, and unseen ones count as it; with NULLs, NULL has none."""
+    if not categorical:
+        return [], []
+    indexers, indexed = _index_stages(categorical)
+    fitted = indexers[0].fit(rows)
+    missing = rows.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in categorical]).first()
+    hot = [f"__hot_{c}" for c in categorical]
+    stages, inputs = [fitted, OneHotEncoder(inputCols=indexed, outputCols=hot)], []
+    for c, column, labels in zip(categorical, hot, fitted.labelsArray):
+        if missing[c]:
+            inputs.append(column)
+        elif len(labels) > 1:
+            cut = f"__cut_{c}"
+            stages.append(
+                VectorSlicer(inputCol=column, outputCol=cut, indices=list(range(1, len(labels))))
+            )
+            inputs.append(cut)
+    return stages, inputs
 
 
 def _labelled(df: DataFrame, label: str, features: Iterable[str]) -> DataFrame:
@@ -67,7 +88,9 @@ def fit_linear(
     a model can be asked for.
     """
     rows = _labelled(df, label, [*numeric, *categorical])
-    stages = _feature_stages(numeric, categorical, one_hot=True)
+    fill, filled = _numeric_stages(numeric)
+    encode, encoded = _one_hot_stages(rows, categorical)
+    stages = [*fill, *encode, VectorAssembler(inputCols=[*filled, *encoded], outputCol=VECTOR)]
     regression = LinearRegression(
         featuresCol=VECTOR, labelCol="__label", predictionCol=prediction
     )
@@ -103,7 +126,10 @@ def fit_best(
     shared_dir(df.sparkSession)
     features = [*numeric, *categorical]
     rows = _labelled(df, label, features)
-    prepared = Pipeline(stages=_feature_stages(numeric, categorical, one_hot=False)).fit(rows)
+    fill, filled = _numeric_stages(numeric)
+    index, indexed = _index_stages(categorical)
+    assemble = VectorAssembler(inputCols=[*filled, *indexed], outputCol=VECTOR)
+    prepared = Pipeline(stages=[*fill, *index, assemble]).fit(rows)
     in_training = hash_uniform("__label", *features, seed=1) < train_ratio
     assembled = prepared.transform(rows.withColumn("__training", in_training)).select(
         "__label", VECTOR, "__training"
