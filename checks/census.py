@@ -378,6 +378,18 @@ def _(t):
     return outline_measures(simplify_boundaries(shapes, "zip_code_geom"), "zip_code_geom")
 
 
+@check("simplify_wkt", f"with recursive {OUTLINE_WITH} select * from outlines")
+def _(t):
+    point = "concat_ws(' ', cast(p.lon as string), cast(p.lat as string))"
+    shapes = zip_boundaries(t).selectExpr(
+        "zip_code", f"concat('POLYGON ((', array_join(transform(zip_code_geom, p -> {point}), ', '), '))') as text"
+    )
+    simple = simplify_boundaries(shapes, "text", output="polygons").drop("text")
+    return outline_measures(
+        simple.select("zip_code", F.col("polygons")[0][0].alias("outline")), "outline"
+    )
+
+
 def labor_model(training):
     return scenarios.labor_model(training, candidates=small_candidates())
 

@@ -468,9 +468,11 @@ def _(t):
 
 @check("automl_fit")
 def _(t):
-    lines = t.lineitem.select(
+    # The search reads its table many times: store it in as many files as there are cores.
+    cores = t.spark.sparkContext.defaultParallelism
+    lines = t.stored(t.lineitem.select(
         *LINE, "l_returnflag", "l_extendedprice", "l_quantity", "l_discount", "l_tax"
-    )
+    ).repartition(cores))
     model = models.fit_best(
         lines, label="l_extendedprice", numeric=["l_quantity", "l_discount", "l_tax"],
         categorical=["l_returnflag"], candidates=small_candidates(),

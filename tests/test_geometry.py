@@ -1,5 +1,6 @@
 import numpy as np
 import pyarrow as pa
+import pytest
 from hypothesis import given, settings, strategies as st
 
 from tractwise.functions import geometry
@@ -100,3 +101,20 @@ def test_chunks_give_the_same_result(monkeypatch):
     monkeypatch.setattr(geometry, "CHUNK_VERTICES", 8)
     assert simplify_arrow(shapes, 2100.0).equals(whole)
     assert simplify_arrow(pa.array([], type=shapes.type), 1.0).to_pylist() == []
+
+
+def test_well_known_text(spark):
+    ring = "(0 0, 0.5 0.0001, 1 0, 1 1, 0 1, 0 0)"
+    df = spark.createDataFrame(
+        [("a", f"POLYGON ({ring})"), ("b", f"multipolygon(({ring}, {ring}), ({ring}))"), ("c", None),
+         ("d", "POLYGON((-1e-1 2, 3.5 -4, 5 6, -1e-1 2))")],
+        "id string, text string",
+    )
+    got = {
+        r.id: r.text and [[[tuple(p) for p in ring_] for ring_ in polygon] for polygon in r.text]
+        for r in simplify_boundaries(df, "text").collect()
+    }
+    assert got["a"] == [[CORNERS]] and got["b"] == [[CORNERS, CORNERS], [CORNERS]] and got["c"] is None
+    assert got["d"] == [[[(-0.1, 2.0), (3.5, -4.0), (5.0, 6.0), (-0.1, 2.0)]]]
+    with pytest.raises(Exception, match="not a polygon"):
+        simplify_boundaries(spark.createDataFrame([("POINT (1 2)",)], "g string"), "g").collect()

@@ -89,6 +89,28 @@ def simplify_arrow(shapes: pa.Array, tolerance_m: float) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, inner, type=shapes.type, mask=shapes.is_null())
 
 
+POLYGONS = "array<array<array<struct<lon: double, lat: double>>>>"
+
+
+def polygons_from_wkt(text: Column | str) -> Column:
+    """The polygons of a ``POLYGON`` or ``MULTIPOLYGON`` text as nested arrays
+    (polygons, rings, points), by built-in functions. Other shapes fail."""
+    text = F.trim(F.col(text) if isinstance(text, str) else text)
+    kind = F.upper(F.regexp_extract(text, r"^([A-Za-z]+)", 1))
+    points = F.regexp_replace(
+        F.regexp_extract(text, r"^[A-Za-z]+\s*(\(.*\))$", 1),
+        r"([-+0-9.eE]+)\s+([-+0-9.eE]+)", r'{"lon":$1,"lat":$2}',
+    )
+    nested = F.translate(points, "()", "[]")
+    nested = (
+        F.when(text.isNull(), None)
+        .when(kind == "MULTIPOLYGON", nested)
+        .when(kind == "POLYGON", F.concat(F.lit("["), nested, F.lit("]")))
+        .otherwise(F.raise_error(F.concat(F.lit("not a polygon: "), text)))
+    )
+    return F.from_json(nested, POLYGONS, {"mode": "FAILFAST"})
+
+
 def simplified(df: DataFrame, shape: str, tolerance_m: float) -> Column:
     """The simplified form of ``df[shape]`` as a column, same type."""
     tolerance = float(tolerance_m)

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, types as T
 
 from tractwise.columns import BOUNDARY_TOLERANCE_M
-from tractwise.functions.geometry import simplified
+from tractwise.functions.geometry import polygons_from_wkt, simplified
 
 
 def simplify_boundaries(
     df: DataFrame, geom: str, *, tolerance_m: float = BOUNDARY_TOLERANCE_M, output: str | None = None
 ) -> DataFrame:
-    """Generalise the shapes in ``geom`` (nested arrays of ``{lon, lat}``); no
-    dropped vertex lies farther than ``tolerance_m`` from what remains."""
-    return df.withColumn(output or geom, simplified(df, geom, tolerance_m))
+    """Generalise the shapes in ``geom``: nested arrays of ``{lon, lat}`` points, or
+    polygons as well-known text. No dropped vertex lies farther than
+    ``tolerance_m`` from what remains. The result is always arrays."""
+    output = output or geom
+    if isinstance(df.schema[geom].dataType, T.StringType):
+        df, geom = df.withColumn(output, polygons_from_wkt(geom)), output
+    return df.withColumn(output, simplified(df, geom, tolerance_m))

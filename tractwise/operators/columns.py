@@ -1,4 +1,5 @@
-"""Operators that only compute columns: no shuffle, any table size, batch or stream."""
+"""Operators that compute columns: no shuffle, any table size, batch or stream
+(``dispatch_unpivot`` also joins a dimension)."""
 
 from __future__ import annotations
 
@@ -13,6 +14,7 @@ from tractwise.functions.arithmetic import (
     clamp_at_zero, hash_uniform, row_sum, safe_divide,
 )
 from tractwise.functions.population import prime_age_raw
+from tractwise.session import replicated_if_small
 
 
 def select_features(df: DataFrame, features: Iterable[str] = FEATURES) -> DataFrame:
@@ -76,7 +78,7 @@ def dispatch_unpivot(
         for label, column in mapping.items()
     ])
     long = df.select(*keep, F.explode(pairs).alias("__pair")).select(*keep, "__pair.*")
-    joined = long.join(dim.select(key, factor), key, "inner")
+    joined = long.join(replicated_if_small(dim.select(key, factor)), key, "inner")
     return joined.select(*keep, key, factor, (F.col("__value") * F.col(factor)).alias(output))
 
 

@@ -1,8 +1,9 @@
 """Joins.
 
-No side carries a broadcast hint: Spark broadcasts a side whose size it knows to
-be below ``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles both,
-with AQE splitting skewed partitions.
+Joins on area ids carry no hint: Spark broadcasts a side whose size it knows to be
+below ``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles both, with
+AQE splitting skewed partitions. Joins on a key of few values broadcast the small
+side once it has been measured.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from tractwise.session import REPLICATE_BYTES, fits_in_tasks
+from tractwise.session import REPLICATE_BYTES, fits_in_tasks, replicated_if_small
 
 
 def period_diff(
@@ -55,6 +56,7 @@ def prefix_join(
     prefix: str,
     keep: Iterable[str],
     length: int | None = None,
+    max_bytes: int = REPLICATE_BYTES,
 ) -> DataFrame:
     """Every row with every prefix its ``column`` starts with, as an equi-join.
 
@@ -64,7 +66,9 @@ def prefix_join(
     that length; then the key is plain and no row is multiplied. A prefix that
     breaks the promise fails the job rather than losing rows.
     """
-    side = prefixes.select(F.col(prefix).alias("__prefix"), *keep)
+    side = replicated_if_small(
+        prefixes.select(F.col(prefix).alias("__prefix"), *keep), max_bytes
+    )
     if length is not None:
         right_length = F.col("__prefix").isNull() | (F.length("__prefix") == length)
         side = side.withColumn(

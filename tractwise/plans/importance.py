@@ -9,6 +9,7 @@ from tractwise.columns import NUMERIC_FEATURES
 from tractwise.operators.attribution import (
     attribution_table, rank_attributions, sampled_attributions, training_baseline,
 )
+from tractwise.operators.models import predict
 
 MODEL_FEATURES = ["state", *NUMERIC_FEATURES]
 
@@ -23,6 +24,14 @@ def importance_predictions(
     )
 
 
+def scored_predictions(
+    top: DataFrame, training: DataFrame, model: PipelineModel, **options: object
+) -> DataFrame:
+    """The rows of ``top`` with their prediction and importance struct."""
+    importances = importance_predictions(top, training, model, **options)
+    return predict(top, model).join(importances, ["state", "geo_id"])
+
+
 def importance_table(predictions: DataFrame) -> DataFrame:
     return attribution_table(predictions)
 

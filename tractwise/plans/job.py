@@ -101,7 +101,7 @@ def build_importance(
     store them per state, wide and ranked. Reads the latest such schema back."""
     run = run or datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S")
     ensure_schema(spark, f"{PREDICTIONS}{run}")
-    predictions = importance.importance_predictions(
+    predictions = importance.scored_predictions(
         spark.table(f"{stage}.ml_input_automl_baseline"),
         spark.table(f"{stage}.census_tract_training"),
         load_model(models, LABOR_MODEL),

@@ -56,3 +56,12 @@ def measured_bytes(df: DataFrame) -> int:
 def fits_in_tasks(df: DataFrame, max_bytes: int = REPLICATE_BYTES) -> bool:
     """Whether ``df`` was measured small enough to replicate to every task."""
     return measured_bytes(df) <= max_bytes
+
+
+def replicated_if_small(df: DataFrame, max_bytes: int = REPLICATE_BYTES) -> DataFrame:
+    """``df`` marked for broadcast if it was measured small enough, else as it is.
+
+    For sides joined on a key of few values: by shuffle, one value could bring a
+    large part of the other side to one task.
+    """
+    return F.broadcast(df) if fits_in_tasks(df, max_bytes) else df
