@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression
 from pyspark.sql import functions as F
 
 from checks.registry import check, small_candidates
@@ -480,6 +481,32 @@ def _(t):
     return models.predict(lines, model).select(*LINE, "predicted_label")
 
 
+SEARCH = ["l_quantity", "l_discount"]
+
+
+@check("model_search_linear", """
+  select l_orderkey, l_linenumber, round(3.0 * l_quantity - 2.0 * l_discount, 3) as predicted_label from lineitem""")
+def _(t):
+    label = F.lit(3.0) * F.col("l_quantity") - F.lit(2.0) * F.col("l_discount")
+    lines = t.lineitem.withColumn("label", label)
+    model = models.fit_best(
+        lines, label="label", numeric=SEARCH, candidates=[DecisionTreeRegressor(), LinearRegression()]
+    )
+    scored = models.predict(lines, model)
+    return scored.select(*LINE, F.round("predicted_label", 3).alias("predicted_label"))
+
+
+@check("model_search_step", """
+  select l_orderkey, l_linenumber, case when l_quantity > 30 then 5.0::double else 1.0::double end as predicted_label
+  from lineitem""")
+def _(t):
+    lines = t.lineitem.withColumn("label", F.when(F.col("l_quantity") > 30, 5.0).otherwise(1.0))
+    model = models.fit_best(lines, label="label", numeric=SEARCH, candidates=[
+        LinearRegression(), DecisionTreeRegressor(maxDepth=3, maxBins=models.MAX_BINS)
+    ])
+    return models.predict(lines, model).select(*LINE, "predicted_label")
+
+
 # ---- attributions --------------------------------------------------------------
 
 ATTRIBUTED = ["l_quantity", "l_discount"]
@@ -536,6 +563,26 @@ def _(t):
     return flat.select("part", *[F.round(c, 3).alias(c) for c in features])
 
 
+@check("attribution_step", """
+  select p_partkey as part, case when p_size > 30 then 4.0::double else 0.0::double end as p_size,
+    0.0::double as p_partkey from part""")
+def _(t):
+    features = ["p_size", "p_partkey"]
+    parts = t.part.select(
+        F.col("p_partkey").alias("part"), F.when(F.col("p_size") > 30, 5.0).otherwise(1.0).alias("label"),
+        *[F.col(c).cast("double").alias(c) for c in features],
+    )
+    model = models.fit_best(parts, label="label", numeric=features, candidates=[
+        DecisionTreeRegressor(maxDepth=3, maxBins=models.MAX_BINS)
+    ])
+    attributed = attribution.sampled_attributions(
+        parts, model, baseline=attribution.training_baseline(parts, features),
+        features=features, keys=["part"], permutations=3,
+    )
+    flat = attribution.expand_struct(attributed, "feature_importance", "part")
+    return flat.select("part", *[F.round(c, 6).alias(c) for c in features])
+
+
 ATTRIBUTION_TABLE = """select o_orderstatus as state_code, lpad(cast(o_orderkey as string), 9, '0') as tract,
     o_totalprice - 250000 as price, cast(o_custkey * 100 as double) as customer,
     cast(-3 * o_orderkey as double) as number from orders"""

@@ -17,7 +17,7 @@ def built(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("analysis")
     (folder / "codes.csv").write_text(fixtures.STATE_CODES)
     models = str(folder / "models")
-    main(["tables", "--source", "census", "--states", str(folder / "codes.csv")])
+    main(["tables", "--source", "census", "--states", str(folder / "codes.csv"), "--buckets", "2"])
     job.build_models(spark, models, candidates=[LinearRegression(), DecisionTreeRegressor(maxDepth=2, maxBins=64)], train_ratio=0.6)
     main(["inputs", "--models", models])
     job.build_importance(spark, models, run="1", permutations=2)

@@ -4,6 +4,7 @@ import pytest
 
 from tests.fixtures import STATE_CODES
 from tractwise import sources
+from tractwise.operators import cast_key_join
 from tractwise.session import checkpointed, fits_in_tasks, measured_bytes, scratch_path, shared_dir
 from tractwise.streaming import append_scenarios
 
@@ -66,6 +67,21 @@ def test_replace_append_count_and_find(spark):
     assert sources.preview(spark.range(10)).count() == 5
 
 
+def test_tables_bucketed_alike_join_without_a_shuffle(spark, plan_of):
+    sources.ensure_schema(spark, "s_buckets")
+    df = spark.range(100).selectExpr("lpad(cast(id as string), 3, '0') as geo_id", "cast(id as double) as v")
+    a = sources.replace_table(df, "s_buckets.a", buckets=(4, "geo_id"))
+    b = sources.replace_table(df.withColumnRenamed("v", "w"), "s_buckets.b", buckets=(4, "geo_id"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = cast_key_join(a, b, left_key="geo_id", right_key="geo_id", keep=["w"])
+        assert "Exchange" not in plan_of(joined)
+        assert joined.where("v = w").count() == 100
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_parameters_are_not_pasted(spark):
     spark.range(3).selectExpr("id", "'a''b' as s").createOrReplaceTempView("params")
     found = sources.query(spark, "select id from identifier(:t) where s = :s and id < :n", t="params", s="a'b", n=2)

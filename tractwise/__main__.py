@@ -27,6 +27,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--models", help="shared folder of the stored models")
     parser.add_argument("--staging", default="staging")
     parser.add_argument("--curated", default="curated")
+    parser.add_argument("--buckets", type=int, help="store income changes in this many buckets")
     parser.add_argument("--state", help="restrict a report to one state")
     parser.add_argument("--rows", type=int, default=20, help="rows of a report to show")
     given = parser.parse_args(arguments)
@@ -38,7 +39,8 @@ def main(arguments: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName(f"tractwise {given.step}").getOrCreate()
     if given.step == "tables":
         job.build_tables(
-            spark, given.source, given.states, stage=given.staging, curated=given.curated
+            spark, given.source, given.states, stage=given.staging, curated=given.curated,
+            buckets=given.buckets,
         )
     elif given.step in ("impact", "scenarios"):
         report = job.impact_report if given.step == "impact" else job.scenario_report

@@ -24,13 +24,23 @@ PREDICTIONS = "prediction_"
 
 
 def build_tables(
-    spark: SparkSession, source: str, states_csv: str, *, stage: str = "staging", curated: str = "curated"
+    spark: SparkSession,
+    source: str,
+    states_csv: str,
+    *,
+    stage: str = "staging",
+    curated: str = "curated",
+    buckets: int | None = None,
 ) -> None:
     """All area tables, from the census tables in schema ``source``.
 
     The three tables by industry are each computed from ``census_zip``, which is
     a twelfth of their size. The training table is a view that leaves columns out.
+    ``buckets`` stores the income changes by hash of the area id, so that census
+    tables bucketed alike are joined to them without a shuffle.
     """
+    layout = (buckets, "geo_id") if buckets else None
+
     def given(name: str) -> DataFrame:
         return spark.table(f"{source}.{name}")
 
@@ -42,11 +52,11 @@ def build_tables(
 
     tract_change = replace_table(
         staging.income_change(given("tract_2018"), given("tract_2015")),
-        f"{stage}.median_income_diff_by_tract",
+        f"{stage}.median_income_diff_by_tract", buckets=layout,
     )
     zip_change = replace_table(
         staging.income_change(given("zip_2018"), given("zip_2015")),
-        f"{stage}.median_income_diff_by_zipcode",
+        f"{stage}.median_income_diff_by_zipcode", buckets=layout,
     )
     zips = replace_table(
         staging.zip_exposure(given("zip_2017"), zip_change, given("zip_boundaries")),

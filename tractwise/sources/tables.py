@@ -29,16 +29,24 @@ def latest_schema(spark: SparkSession, prefix: str) -> str:
     return max(names)
 
 
-def replace_table(df: DataFrame, name: str, *, group: str | None = None) -> DataFrame:
+def replace_table(
+    df: DataFrame, name: str, *, group: str | None = None, buckets: tuple[int, str] | None = None
+) -> DataFrame:
     """Write ``df`` as table ``name``, replacing it, and return the stored table.
 
     With ``group`` there is one folder per group value, written in one job (see
-    ``write_grouped``). ``df`` must not read ``name`` itself; Spark refuses that.
+    ``write_grouped``). With ``buckets`` (number, key) rows are stored by hash of the
+    key: tables bucketed alike join on it without a shuffle. ``df`` must not read
+    ``name`` itself; Spark refuses that.
     """
-    if group is None:
-        df.write.mode("overwrite").saveAsTable(name)
+    if group is not None:
+        writer = df.hint("rebalance", group).write.partitionBy(group)
+    elif buckets is not None:
+        count, key = buckets
+        writer = df.repartition(count, key).write.bucketBy(count, key).sortBy(key)
     else:
-        df.hint("rebalance", group).write.mode("overwrite").partitionBy(group).saveAsTable(name)
+        writer = df.write
+    writer.mode("overwrite").saveAsTable(name)
     return df.sparkSession.table(name)
 
 
