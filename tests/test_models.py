@@ -43,6 +43,19 @@ def test_predict_passes_inputs_through_and_fills_null(table, linear):
     assert missing.first().predicted_label == pytest.approx(30000 - 20000 * mean)
 
 
+def test_columns_without_values_and_nan(spark):
+    df = spark.createDataFrame(
+        [(float(i), None, float(i) if i != 3 else float("nan"), 2.0 * i) for i in range(8)],
+        "v double, never double, gap double, y double",
+    )
+    for fit in (fit_linear, lambda *a, **k: fit_best(
+        *a, candidates=[LinearRegression(), DecisionTreeRegressor(maxDepth=1)], **k
+    )):
+        model = fit(df, label="y", numeric=["v", "never", "gap"])
+        scored = predict(df.withColumn("never", F.lit(5.0)), model)
+        assert all(abs(r.predicted_label - r.y) < 1e-6 for r in scored.collect())
+
+
 def test_categories_unseen_or_null(table):
     model = fit_linear(table, label="prime_age_not_in_labor_force", numeric=["noise"], categorical=["state"])
     odd = table.limit(1).withColumn("state", F.lit("XX"))

@@ -5,11 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import ImputerModel
 from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tractwise.operators.models import PREDICTION
+from tractwise.operators.models import FILLED, PREDICTION
 
 STRUCT = "feature_importance"
 
@@ -38,19 +37,18 @@ def linear_attributions(
     Exact for a linear model of numeric features, and a projection. A NULL value
     counts as the number the model filled in for it.
     """
-    regression = model.stages[-1]
-    if not isinstance(regression, LinearRegressionModel) or len(model.stages) != 3:
+    *prepare, assembler, regression = model.stages
+    inputs = assembler.getInputCols()
+    if not isinstance(regression, LinearRegressionModel) or not all(
+        c.startswith(FILLED) for c in inputs
+    ):
         raise ValueError("needs a linear model of numeric features; use sampled_attributions")
-    filler = next(s for s in model.stages if isinstance(s, ImputerModel))
-    filled = filler.surrogateDF.first().asDict()
-    terms = [
-        (
-            F.lit(float(weight))
-            * (F.coalesce(F.col(c), F.lit(filled[c])) - F.lit(float(baseline[c])))
-        ).alias(c)
-        for c, weight in zip(filler.getInputCols(), regression.coefficients)
-    ]
-    return df.select(*keys, F.struct(*terms).alias(STRUCT))
+    terms = []
+    for column, weight in zip(inputs, regression.coefficients):
+        name = column.removeprefix(FILLED)
+        away = F.col(column) - F.lit(float(baseline[name]))
+        terms.append((F.lit(float(weight)) * away).alias(name))
+    return PipelineModel(stages=prepare).transform(df).select(*keys, F.struct(*terms).alias(STRUCT))
 
 
 def sampled_attributions(

@@ -10,7 +10,9 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler, VectorSlicer
+from pyspark.ml.feature import (
+    OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler, VectorSlicer,
+)
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
 
@@ -20,17 +22,25 @@ from tractwise.session import shared_dir
 
 PREDICTION = "predicted_label"
 VECTOR = "__features"
+FILLED = "__filled_"
 
 #: A tree needs at least as many bins as a category has values.
 MAX_BINS = 128
 
 
-def _numeric_stages(numeric: Sequence[str]) -> tuple[list, list[str]]:
-    """NULL numbers become the training mean."""
-    filled = [f"__filled_{c}" for c in numeric]
+def _numeric_stages(rows: DataFrame, numeric: Sequence[str]) -> tuple[list, list[str]]:
+    """A stage that gives NULL and NaN the training mean, all means in one pass.
+    A column without any value tells nothing and is left out of the model."""
     if not numeric:
         return [], []
-    return [Imputer(strategy="mean", inputCols=list(numeric), outputCols=filled)], filled
+    known = {c: f"nanvl(cast(`{c}` as double), cast(null as double))" for c in numeric}
+    means = rows.agg(*[F.expr(f"avg({value})").alias(c) for c, value in known.items()]).first()
+    filled = {
+        f"{FILLED}{c}": f"coalesce({value}, {means[c]!r}D)"
+        for c, value in known.items() if means[c] is not None
+    }
+    fields = ", ".join(["*", *[f"{value} AS `{name}`" for name, value in filled.items()]])
+    return [SQLTransformer(statement=f"SELECT {fields} FROM __THIS__")], list(filled)
 
 
 def _index_stages(categorical: Sequence[str]) -> tuple[list, list[str]]:
@@ -88,7 +98,7 @@ def fit_linear(
     a model can be asked for.
     """
     rows = _labelled(df, label, [*numeric, *categorical])
-    fill, filled = _numeric_stages(numeric)
+    fill, filled = _numeric_stages(rows, numeric)
     encode, encoded = _one_hot_stages(rows, categorical)
     stages = [*fill, *encode, VectorAssembler(inputCols=[*filled, *encoded], outputCol=VECTOR)]
     regression = LinearRegression(
@@ -126,7 +136,7 @@ def fit_best(
     shared_dir(df.sparkSession)
     features = [*numeric, *categorical]
     rows = _labelled(df, label, features)
-    fill, filled = _numeric_stages(numeric)
+    fill, filled = _numeric_stages(rows, numeric)
     index, indexed = _index_stages(categorical)
     assemble = VectorAssembler(inputCols=[*filled, *indexed], outputCol=VECTOR)
     prepared = Pipeline(stages=[*fill, *index, assemble]).fit(rows)
@@ -134,18 +144,21 @@ def fit_best(
     assembled = prepared.transform(rows.withColumn("__training", in_training)).select(
         "__label", VECTOR, "__training"
     )
-    training, validation = assembled.where("__training"), assembled.where("not __training")
-    evaluator = RegressionEvaluator(
-        labelCol="__label", predictionCol=prediction, metricName="rmse"
-    )
-    best, least = None, None
-    for candidate in candidates or default_candidates():
-        regressor = candidate.copy().setParams(
-            featuresCol=VECTOR, labelCol="__label", predictionCol=prediction
+    regressors = [
+        c.copy().setParams(featuresCol=VECTOR, labelCol="__label", predictionCol=prediction)
+        for c in candidates or default_candidates()
+    ]
+    best = regressors[0]
+    if len(regressors) > 1:
+        training, validation = assembled.where("__training"), assembled.where("not __training")
+        if training.isEmpty() or validation.isEmpty():  # too few rows to hold some back
+            training = validation = assembled
+        evaluator = RegressionEvaluator(
+            labelCol="__label", predictionCol=prediction, metricName="rmse"
+        )
+        best = min(
+            regressors, key=lambda r: evaluator.evaluate(r.fit(training).transform(validation))
         )
-        error = evaluator.evaluate(regressor.fit(training).transform(validation))
-        if least is None or error < least:
-            best, least = regressor, error
     return PipelineModel(stages=[*prepared.stages, best.fit(assembled)])
 
 
