@@ -305,7 +305,7 @@ def _(t):
 
 @check("ml_input_automl_baseline", f"with {TRACT_WITH} select * from top_tracts")
 def _(t):
-    return scenarios.top_tracts(tracts(t))
+    return scenarios.top_tracts(stored_tracts(t))
 
 
 def scenario_tracts(all_tracts, t):

@@ -370,6 +370,15 @@ def _(t):
     return _top(t, 2)
 
 
+@check("top_k_rows_unique", """select * exclude (pop_rank) from (
+    select *, row_number() over (partition by o_orderpriority
+      order by o_totalprice desc nulls last, o_orderkey) as pop_rank from orders) where pop_rank <= 3""")
+def _(t):
+    return groups.top_k_rows(
+        t.orders, "o_orderpriority", "o_totalprice", 3, tie_break="o_orderkey", unique=True
+    )
+
+
 @check("top_k_rows_large", _top_sql(1500))
 def _(t):
     return _top(t, 1500)

@@ -50,6 +50,18 @@ def test_top_k_breaks_ties_and_puts_null_last(df, plan_of):
     assert "WindowGroupLimit" in plan_of(result)
 
 
+@pytest.mark.parametrize("max_bytes", [0, 1 << 20])
+def test_top_k_through_a_unique_key_is_the_same(df, max_bytes, plan_of):
+    wide = df.withColumn("extra", F.col("id") * 10)
+    plain = top_k_rows(wide, "g", "m", 2, tie_break="id", rank="place")
+    picked = top_k_rows(wide, "g", "m", 2, tie_break="id", rank="place", unique=True, max_bytes=max_bytes)
+    assert picked.columns == plain.columns == [*wide.columns, "place"]
+    assert ("BroadcastHashJoin" in plan_of(picked)) == (max_bytes > 0)
+    assert sorted(map(str, picked.collect())) == sorted(map(str, plain.collect()))
+    unnamed = top_k_rows(wide, "g", "m", 1, tie_break="id", unique=True)
+    assert unnamed.columns == wide.columns and ids(unnamed) == [2, 5, 6, 7]
+
+
 def test_large_k_equals_a_plain_ranking(spark):
     df = spark.range(9000).select(
         F.when(F.col("id") % 3 > 0, 0).otherwise(F.col("id") % 4).alias("g"),
@@ -62,3 +74,4 @@ def test_large_k_equals_a_plain_ranking(spark):
             group = sorted((r for r in data if r.g == g), key=lambda r: (-r.m, r.id))
             expected |= {r.id for r in group[:k]}
         assert set(ids(top_k_rows(df, "g", "m", k, tie_break="id"))) == expected
+        assert set(ids(top_k_rows(df, "g", "m", k, tie_break="id", unique=True))) == expected

@@ -6,7 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tractwise.session import REPLICATE_BYTES, checkpointed, fits_in_tasks
+from tractwise.session import REPLICATE_BYTES, checkpointed, replicated_if_small
 
 
 def _names(columns: str | Iterable[str]) -> list[str]:
@@ -38,8 +38,7 @@ def argmax_rows(
         group_max(df.select(*group, measure), group, measure)
         .select(*[F.col(g).alias(k) for g, k in zip(group, keys)], F.col(measure).alias("__best"))
     )
-    if fits_in_tasks(best, max_bytes):
-        best = F.broadcast(best)
+    best = replicated_if_small(best, max_bytes)
     match = F.col(measure) == F.col("__best")
     for g, k in zip(group, keys):
         match = match & (F.col(g) == F.col(k))
@@ -54,10 +53,16 @@ def top_k_rows(
     *,
     tie_break: str | Iterable[str],
     rank: str | None = None,
+    unique: bool = False,
     salts: int | None = None,
+    max_bytes: int = REPLICATE_BYTES,
 ) -> DataFrame:
     """The ``k`` rows with the largest ``measure`` per group, ties by ``tie_break``.
 
+    ``unique`` says that ``tie_break`` identifies a row. Then only the ranking
+    columns are sorted, and the rows found are picked from the wide table where
+    they are read.
+
     Spark ranks within each task first (WindowGroupLimit), so a task receives at
     most k rows of a group from each task before it. It does so only for a k
     below a planner setting; from there on groups are first cut to k rows per
@@ -66,15 +71,30 @@ def top_k_rows(
     """
     group, tie_break = _names(group), _names(tie_break)
     order = [F.col(measure).desc_nulls_last(), *[F.col(c).asc() for c in tie_break]]
+    name = rank or "__rank"
 
     def first_k(rows: DataFrame, by: list) -> DataFrame:
-        ranked = rows.withColumn("__rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
-        return ranked.where(F.col("__rank") <= k)
+        place = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+        return rows.withColumn(name, place).where(F.col(name) <= k)
 
+    ranked = df
+    if unique:
+        ranked = df.select(*dict.fromkeys([*group, *tie_break, measure]))
     conf = df.sparkSession.conf
     if k >= int(conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
         salts = salts or int(conf.get("spark.sql.shuffle.partitions"))
         salt = F.pmod(F.xxhash64(*tie_break), F.lit(salts)).alias("__salt")
-        df = first_k(df.select("*", salt), [*group, "__salt"]).drop("__salt", "__rank")
-    top = first_k(df, group)
-    return top.withColumnRenamed("__rank", rank) if rank else top.drop("__rank")
+        ranked = first_k(ranked.select("*", salt), [*group, "__salt"]).drop("__salt", name)
+    top = first_k(ranked, group)
+    if unique:
+        keys = list(dict.fromkeys([*group, *tie_break]))
+        found = checkpointed(
+            top.select(*[F.col(c).alias(f"__key{i}") for i, c in enumerate(keys)], name)
+        )
+        match = F.lit(True)
+        for i, c in enumerate(keys):
+            match = match & F.col(c).eqNullSafe(F.col(f"__key{i}"))
+        top = df.join(replicated_if_small(found, max_bytes), match, "inner").drop(
+            *[f"__key{i}" for i in range(len(keys))]
+        )
+    return top if rank else top.drop(name)

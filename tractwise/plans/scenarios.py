@@ -28,8 +28,10 @@ def most_disengaged(tracts: DataFrame, states: DataFrame) -> DataFrame:
 
 def top_tracts(tracts: DataFrame, k: int = 2) -> DataFrame:
     """Model features of the ``k`` most disengaged tracts per state."""
-    top = top_k_rows(tracts.select(*FEATURES, MEASURE), "state", MEASURE, k, tie_break="geo_id")
-    return top.select(*FEATURES)
+    top = top_k_rows(
+        tracts.select(*FEATURES, MEASURE), "state", MEASURE, k, tie_break="geo_id", unique=True
+    )
+    return top.drop(MEASURE)
 
 
 def scenario_tracts(top: DataFrame, disengaged: DataFrame) -> DataFrame:
