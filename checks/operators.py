@@ -518,45 +518,52 @@ def _(t):
 
 # ---- attributions --------------------------------------------------------------
 
+def _rounded(attributions, keys, features):
+    """Three decimals, and no negative zero."""
+    flat = attribution.expand_struct(attributions, "feature_importance", *keys)
+    return flat.select(*keys, *[
+        F.expr(f"case when round({c}, 3) = 0 then 0D else round({c}, 3) end").alias(c) for c in features
+    ])
+
+
+def _rounded_sql(value: str) -> str:
+    return f"case when round({value}, 3) = 0 then 0::double else round({value}, 3) end"
+
+
 ATTRIBUTED = ["l_quantity", "l_discount"]
 # Least squares on two features by their covariances.
-ATTRIBUTION_SQL = """with sums as (
+ATTRIBUTION_SQL = f"""with sums as (
     select avg(l_quantity) as mq, avg(l_discount) as md,
       var_pop(l_quantity) as qq, var_pop(l_discount) as dd, covar_pop(l_quantity, l_discount) as qd,
       covar_pop(l_extendedprice, l_quantity) as yq, covar_pop(l_extendedprice, l_discount) as yd
     from lineitem),
   fit as (select mq, md, (yq * dd - yd * qd) / (qq * dd - qd * qd) as bq,
                  (yd * qq - yq * qd) / (qq * dd - qd * qd) as bd from sums)
-  select l_orderkey, l_linenumber, round(bq * (l_quantity - mq), 3) as l_quantity,
-    round(bd * (l_discount - md), 3) as l_discount from lineitem, fit"""
+  select l_orderkey, l_linenumber, {_rounded_sql('bq * (l_quantity - mq)')} as l_quantity,
+    {_rounded_sql('bd * (l_discount - md)')} as l_discount from lineitem, fit"""
 
 
 def _price_model(t):
     return models.fit_linear(t.lineitem, label="l_extendedprice", numeric=ATTRIBUTED)
 
 
-def _rounded(attributions):
-    flat = attribution.expand_struct(attributions, "feature_importance", *LINE)
-    return flat.select(*LINE, *[F.round(c, 3).alias(c) for c in ATTRIBUTED])
-
-
 @check("attribution_linear", ATTRIBUTION_SQL)
 def _(t):
     baseline = attribution.training_baseline(t.lineitem, ATTRIBUTED)
     return _rounded(attribution.linear_attributions(
         t.lineitem, _price_model(t), baseline=baseline, keys=LINE
-    ))
+    ), LINE, ATTRIBUTED)
 
 
-@check("attribution_sampled", """with sums as (
+@check("attribution_sampled", f"""with sums as (
     select avg(p_size) as ms, avg(p_partkey) as mk,
       var_pop(p_size) as ss, var_pop(p_partkey) as kk, covar_pop(p_size, p_partkey) as sk,
       covar_pop(p_retailprice, p_size) as ys, covar_pop(p_retailprice, p_partkey) as yk
     from part),
   fit as (select ms, mk, (ys * kk - yk * sk) / (ss * kk - sk * sk) as bs,
                  (yk * ss - ys * sk) / (ss * kk - sk * sk) as bk from sums)
-  select p_partkey as part, round(bs * (p_size - ms), 3) as p_size,
-    round(bk * (p_partkey - mk), 3) as p_partkey from part, fit""")
+  select p_partkey as part, {_rounded_sql('bs * (p_size - ms)')} as p_size,
+    {_rounded_sql('bk * (p_partkey - mk)')} as p_partkey from part, fit""")
 def _(t):
     features = ["p_size", "p_partkey"]
     parts = t.part.select(
@@ -568,8 +575,7 @@ def _(t):
         baseline=attribution.training_baseline(parts, features), features=features,
         keys=["part"], permutations=2,
     )
-    flat = attribution.expand_struct(attributed, "feature_importance", "part")
-    return flat.select("part", *[F.round(c, 3).alias(c) for c in features])
+    return _rounded(attributed, ["part"], features)
 
 
 @check("attribution_step", """
@@ -588,8 +594,7 @@ def _(t):
         parts, model, baseline=attribution.training_baseline(parts, features),
         features=features, keys=["part"], permutations=3,
     )
-    flat = attribution.expand_struct(attributed, "feature_importance", "part")
-    return flat.select("part", *[F.round(c, 6).alias(c) for c in features])
+    return _rounded(attributed, ["part"], features)
 
 
 ATTRIBUTION_TABLE = """select o_orderstatus as state_code, lpad(cast(o_orderkey as string), 9, '0') as tract,

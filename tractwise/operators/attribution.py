@@ -16,7 +16,7 @@ STRUCT = "feature_importance"
 def training_baseline(
     df: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = ()
 ) -> dict[str, float | str | None]:
-    """The reference row attributions are measured against: mean of each number,
+    """The row attributions are measured against: mean of each number,
     most frequent value of each category (ties: the smallest). One row of values."""
     row = df.agg(*[F.avg(c).alias(c) for c in numeric]).first() if numeric else None
     baseline = {c: row[c] for c in numeric}
