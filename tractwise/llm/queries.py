@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tractwise.llm import mixing, quality
+from tractwise.llm import lines, minhash, mixing, packing, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -64,3 +64,20 @@ def op4_mix_sources(table):
 @query()
 def op7_quality_outliers(table):
     return quality.quality_rules(table("documents").select("doc_id", "text", "lang", "source"))
+
+
+@query()
+def op1_setsketch_near_duplicates(table):
+    return minhash.near_duplicates(table("documents").select("doc_id", "text"))
+
+
+@query()
+def op5_pattern_packing(table):
+    return packing.pack(table("documents").select("doc_id", "text"))
+
+
+@query()
+def op10_fuzzy_lines(table):
+    cleaned = lines.dedup_lines(table("documents").select("doc_id", "text"))
+    return cleaned.select(
+        "doc_id", "text", "dropped_lines", F.coalesce(F.size("dropped_lines"), F.lit(0)).alias("n_dropped"))
