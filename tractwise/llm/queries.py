@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tractwise.llm import lines, minhash, mixing, packing, quality
+from tractwise.llm import chat, lines, minhash, mixing, packing, quality, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -81,3 +81,57 @@ def op10_fuzzy_lines(table):
     cleaned = lines.dedup_lines(table("documents").select("doc_id", "text"))
     return cleaned.select(
         "doc_id", "text", "dropped_lines", F.coalesce(F.size("dropped_lines"), F.lit(0)).alias("n_dropped"))
+
+
+@query(r"""
+with p as (
+  select page_id, coalesce(html, '') as html, octet_length(encode(coalesce(html, ''))) as n from pages
+  where page_id is not null),
+d as (select *, sha256(html) as digest, min(page_id) over (partition by sha256(html)) as first from p)
+select page_id, n::bigint as payload_bytes, digest as payload_digest,
+  case when n >= 100 and first <> page_id then 'revisit' else 'response' end as record_type,
+  case when n >= 100 and first <> page_id then first end as refers_to
+from d
+""")
+def op6_warc_normaliser(table):
+    return warc.archive_pages(table("pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query(r"""
+with t as (
+  select conv_id, turn, coalesce(role, 'unknown') as speaker, coalesce(text, '') as text from conversations),
+s as (select distinct conv_id, speaker as perspective from t where speaker <> 'system'),
+r as (
+  select t.*, s.perspective, t.speaker = s.perspective as mask,
+    '<|im_start|>' || case when t.speaker = 'system' then 'system' when t.speaker = s.perspective then 'assistant'
+      else 'user name=' || t.speaker end || chr(10) as head
+  from t join s on t.conv_id is not distinct from s.conv_id),
+x as (
+  select *, head || text || '<|im_end|>' || chr(10) as segment,
+    row_number() over w - 1 as place, sum(length(head || text || '<|im_end|>' || chr(10))) over w as upto
+  from r window w as (partition by conv_id, perspective order by turn nulls first, speaker, text
+    rows between unbounded preceding and current row))
+select conv_id, perspective, turn, place::bigint as place, speaker, segment, mask,
+  case when mask then upto - length(segment) + length(head) end::bigint as mask_start,
+  case when mask then upto - 1 end::bigint as mask_end,
+  (upto - length(segment))::bigint as start, upto::bigint as end
+from x
+""")
+def op8_perspective_rotation(table):
+    return chat.rotate_perspectives(table("conversations"))
+
+
+@query(r"""
+with v as (
+  select vec_id, min(list_transform(embedding, lambda x: floor(x::double * 256)::bigint)) as ints from embeddings
+  where vec_id is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+  group by vec_id),
+s as (
+  select q.vec_id as query_id, c.vec_id, list_inner_product(q.ints::double[], c.ints::double[])::bigint as score
+  from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 50 = 0),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from s)
+select query_id, rank, vec_id, score from r where rank <= 5
+""")
+def op9_threshold_top_k(table):
+    return topk.top_k(table("embeddings"))
