@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tractwise.llm import chat, lines, minhash, mixing, packing, quality, topk, warc
+from tractwise.llm import chat, lines, lmscore, minhash, mixing, packing, quality, secrets, topk, warc
+from tractwise.session import replicated_if_small
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -135,3 +136,17 @@ select query_id, rank, vec_id, score from r where rank <= 5
 """)
 def op9_threshold_top_k(table):
     return topk.top_k(table("embeddings"))
+
+
+@query()
+def op2_secret_scan(table):
+    return secrets.scan_documents(table("documents").select("doc_id", "text", "source"))
+
+
+@query()
+def op3_cross_entropy_difference(table):
+    good = table("labels").where("quality = 1").select(F.col("doc_id").alias("__id")).distinct()
+    docs = table("documents").select("doc_id", "text").join(
+        replicated_if_small(good), F.col("doc_id") == F.col("__id"), "left")
+    return lmscore.cross_entropy_difference(
+        docs.withColumn("chosen", F.col("__id").isNotNull()), chosen_column="chosen")
