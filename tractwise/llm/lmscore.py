@@ -12,7 +12,7 @@ from tractwise.llm.tables import Stored
 from tractwise.llm.text import mixed, salt, word_hashes
 
 #: Texts are counted and scored in parts of so many rows, and counts handed on from so many entries.
-PART, ENTRIES = 500, 4_000_000
+PART, ENTRIES = 200, 1_000_000
 
 
 def _pairs(words: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -32,7 +32,7 @@ def _summed(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _counted(batches: Iterator[pa.RecordBatch]):
     """Counts of words and word pairs of a task: hash, kind, in target texts, in all texts."""
-    held: dict[int, list] = {1: [], 2: []}
+    held: dict[int, list] = {1: [], 2: []}  # so a task's memory is bounded, whatever its share of texts
 
     def out():
         for kind, parts in held.items():
