@@ -119,15 +119,17 @@ def candidates(
 
 
 def known_kind(candidate: Column, before: Column) -> Column:
-    """1 for candidates that are a known kind of credential, 0 for words, NULL if neither is sure.
+    """1 for candidates that are a known kind of credential, 0 for words and numbers, NULL if not sure.
 
     Sure credentials are provider keys, and digits mixed with letters that follow an
-    assignment to a name for a secret; sure others are letters alone.
+    assignment to a name for a secret; sure others are letters alone or digits alone
+    (accounts, cards, telephones) without such a name before them.
     """
     provider = candidate.rlike(r"^(AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{36}$|^sk_live_[A-Za-z0-9]{16,}$")
     named = before.rlike(r"(?i)(pass(word|wd)?|pwd|secret|token|key|auth)[\"']?\s*[=:]\s*[\"']?$")
     mixed = candidate.rlike("[0-9]") & candidate.rlike("[A-Za-z]")
-    return F.when(provider | (named & mixed), 1.0).when(~candidate.rlike("[0-9]"), 0.0)
+    return F.when(provider | (named & mixed), 1.0).when(~candidate.rlike("[0-9]"), 0.0).when(
+        ~candidate.rlike("[A-Za-z]") & ~named, 0.0)
 
 
 def train(labelled: DataFrame, *, max_labelled: int = 20_000, trees: int = 30, depth: int = 8, seed: int = 7) -> PipelineModel:
