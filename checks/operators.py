@@ -623,15 +623,22 @@ def _(t):
     return attribution.attributions_long(_attribution_table(t))
 
 
+TOP = f"""select * from ({ATTRIBUTION_TABLE})
+  qualify row_number() over (partition by state_code order by price desc nulls last, tract) <= 2"""
 WIDE = f"""select state_code, feature, any_value(importance) filter (slot = 1) as tract_1,
     any_value(importance) filter (slot = 2) as tract_2
-  from (select *, row_number() over (partition by state_code, feature order by tract) as slot from ({LONG}))
-  where slot <= 2 group by state_code, feature"""
+  from (select *, row_number() over (partition by state_code, feature order by tract) as slot
+    from (select * from ({TOP}) unpivot include nulls (importance for feature in (price, customer, number))))
+  group by state_code, feature"""
+
+
+def _top_attributions(t):
+    return groups.top_k_rows(_attribution_table(t), "state_code", "price", 2, tie_break="tract")
 
 
 @check("transpose_wide", WIDE)
 def _(t):
-    return attribution.transpose_attributions(_attribution_table(t))
+    return attribution.transpose_attributions(_top_attributions(t))
 
 
 @check("rank_attributions", f"""
@@ -647,7 +654,7 @@ def _(t):
   from ({WIDE})""")
 def _(t):
     return attribution.rank_attributions_wide(
-        attribution.transpose_attributions(_attribution_table(t))
+        attribution.transpose_attributions(_top_attributions(t))
     )
 
 

@@ -110,7 +110,11 @@ def test_ranks_are_by_absolute_value_with_ties_by_name(table, plan_of):
 
 
 def test_transposed_report_ranks_by_the_first_tract(table):
-    wide = transpose_attributions(table)
+    with pytest.raises(Exception, match="more than 2 rows"):  # none is left out silently
+        transpose_attributions(table).collect()
+    every = transpose_attributions(table, slots=3).where("state_code = 'AL' and feature = 'p'").first()
+    assert (every.tract_1, every.tract_2, every.tract_3) == (-3.0, 0.5, 9.0)
+    wide = transpose_attributions(table.where("tract != 't3'"))
     assert wide.columns == ["state_code", "feature", "tract_1", "tract_2"]
     al = {r.feature: (r.tract_1, r.tract_2) for r in wide.where("state_code = 'AL'").collect()}
     assert al == {"state": (1.0, 5.0), "p": (-3.0, 0.5), "q": (3.0, -0.1), "r": (None, 2.0)}
@@ -126,3 +130,10 @@ def test_transposing_twice_gives_the_table_back(table):
         F.first("importance")
     )
     assert sorted(map(str, back.collect())) == sorted(map(str, table.collect()))
+
+
+def test_baseline_uses_the_numbers_and_rows_the_model_is_fitted_to(spark):
+    rows = spark.createDataFrame(
+        [(1.0, 1.0), (float("nan"), 2.0), (float("inf"), 3.0), (None, 4.0), (3.0, 5.0), (100.0, None)],
+        "x double, y double")
+    assert training_baseline(rows, ["x"], label="y") == {"x": 2.0}

@@ -75,3 +75,9 @@ def test_large_k_equals_a_plain_ranking(spark):
             expected |= {r.id for r in group[:k]}
         assert set(ids(top_k_rows(df, "g", "m", k, tie_break="id"))) == expected
         assert set(ids(top_k_rows(df, "g", "m", k, tie_break="id", unique=True))) == expected
+
+
+def test_unique_top_rows_stay_k_where_an_id_occurs_twice(spark):
+    rows = spark.createDataFrame([("a", "t1", 9), ("a", "t1", 9), ("a", "t2", 5)], "g string, id string, m int")
+    for k in (1, 2, 3):
+        assert top_k_rows(rows, "g", "m", k, tie_break="id", unique=True).count() == k

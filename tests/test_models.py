@@ -45,7 +45,7 @@ def test_predict_passes_inputs_through_and_fills_null(table, linear):
 
 def test_columns_without_values_and_nan(spark):
     df = spark.createDataFrame(
-        [(float(i), None, float(i) if i != 3 else float("nan"), 2.0 * i) for i in range(8)],
+        [(float(i), None, float(i) if i != 3 else float("nan"), 2.0 * i) for i in range(40)],
         "v double, never double, gap double, y double",
     )
     for fit in (fit_linear, lambda *a, **k: fit_best(
@@ -127,3 +127,15 @@ def test_store_replaces(table, linear, tmp_path):
     assert [tuple(r) for r in predict(first, loaded).collect()] == [
         tuple(r) for r in predict(first, linear).collect()
     ]
+
+
+def test_search_fails_without_a_hold_out(spark):
+    one = spark.createDataFrame([(1.0, 2.0)], "v double, y double")
+    with pytest.raises(ValueError, match="too few rows"):
+        fit_best(one, label="y", numeric=["v"])
+
+
+def test_trees_take_as_many_bins_as_a_category_has_values(spark):
+    rows = spark.createDataFrame([(f"c{i % 200}", float(i % 200)) for i in range(800)], "c string, y double")
+    model = fit_best(rows, label="y", numeric=[], categorical=["c"], candidates=[DecisionTreeRegressor(maxBins=32)])
+    assert predict(rows, model).count() == 800

@@ -119,3 +119,11 @@ def test_appended_scenarios_use_each_file_once(spark, tmp_path):
     result = run()
     assert result.count() == 30
     assert sorted(r.v for r in result.where("id = 4").collect()) == [10.0 * 1.5 ** j for j in range(6)]
+
+
+def test_latest_schema_orders_runs_by_number(spark):
+    from tractwise.sources.tables import ensure_schema, latest_schema
+
+    for run in (9, 10):
+        ensure_schema(spark, f"numbered_run_{run}")
+    assert latest_schema(spark, "numbered_run_") == "numbered_run_10"

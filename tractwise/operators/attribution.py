@@ -8,17 +8,20 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tractwise.operators.models import FILLED, PREDICTION
+from tractwise.operators.models import FILLED, PREDICTION, known_number
 
 STRUCT = "feature_importance"
 
 
 def training_baseline(
-    df: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = ()
+    df: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = (), label: str | None = None
 ) -> dict[str, float | str | None]:
-    """The row attributions are measured against: mean of each number,
+    """The row attributions are measured against, by the numbers and the rows a model
+    with this ``label`` is fitted to: mean of each number (NULL, NaN and infinity aside),
     most frequent value of each category (ties: the smallest). One row of values."""
-    row = df.agg(*[F.avg(c).alias(c) for c in numeric]).first() if numeric else None
+    if label is not None:
+        df = df.where(F.col(label).isNotNull() & ~F.isnan(F.col(label).cast("double")))
+    row = df.agg(*[F.avg(known_number(c)).alias(c) for c in numeric]).first() if numeric else None
     baseline = {c: row[c] for c in numeric}
     for c in categorical:
         common = (
@@ -164,14 +167,14 @@ def transpose_attributions(
 ) -> DataFrame:
     """One row per group and feature, with columns ``tract_1 .. tract_n``.
 
-    The first ``slots`` rows of a group (by id) become columns, as in a report on
-    its top rows; ``attributions_long`` keeps every row. Rows are numbered before
-    they are turned, so only the numbered ones are.
+    The rows of a group become columns in the order of their ids. Every row is
+    turned: a group of more than ``slots`` rows fails the job. ``top_k_rows`` makes
+    the choice of rows, ``attributions_long`` takes any number.
     """
     window = Window.partitionBy(group).orderBy(F.asc(row))
-    numbered = table.withColumn("__slot", F.row_number().over(window)).where(
-        F.col("__slot") <= slots
-    )
+    place = F.row_number().over(window)
+    numbered = table.withColumn("__slot", F.when(place <= slots, place).otherwise(
+        F.raise_error(F.lit(f"a group has more than {slots} rows to turn into columns")).cast("int")))
     wide = (
         attributions_long(numbered.drop(row), keys=(group, "__slot"))
         .groupBy(group, "feature")

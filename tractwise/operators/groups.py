@@ -59,7 +59,7 @@ def top_k_rows(
 ) -> DataFrame:
     """The ``k`` rows with the largest ``measure`` per group, ties by ``tie_break``.
 
-    ``unique`` says that ``tie_break`` identifies a row. Then only the ranking
+    ``unique`` expects that ``tie_break`` identifies a row. Then only the ranking
     columns are sorted, and the rows found are picked from the wide table where
     they are read.
 
@@ -89,12 +89,14 @@ def top_k_rows(
     if unique:
         keys = list(dict.fromkeys([*group, *tie_break]))
         found = checkpointed(
-            top.select(*[F.col(c).alias(f"__key{i}") for i, c in enumerate(keys)], name)
+            top.select(*[F.col(c).alias(f"__key{i}") for i, c in enumerate(keys)]).distinct()
         )
         match = F.lit(True)
         for i, c in enumerate(keys):
             match = match & F.col(c).eqNullSafe(F.col(f"__key{i}"))
-        top = df.join(replicated_if_small(found, max_bytes), match, "inner").drop(
+        picked = df.join(replicated_if_small(found, max_bytes), match, "inner").drop(
             *[f"__key{i}" for i in range(len(keys))]
         )
+        # an id that occurs twice was found once: rank the few rows picked
+        top = first_k(picked, group)
     return top if rank else top.drop(name)

@@ -14,7 +14,7 @@ from pyspark.ml.feature import (
     OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler, VectorSlicer,
 )
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tractwise.columns import GRADUATES, MEASURE, SHARE
 from tractwise.functions.arithmetic import hash_uniform, round_int, safe_divide
@@ -24,17 +24,26 @@ PREDICTION = "predicted_label"
 VECTOR = "__features"
 FILLED = "__filled_"
 
-#: A tree needs at least as many bins as a category has values.
+#: Bins of the default trees; more are taken where a category has more values.
 MAX_BINS = 128
 
 
+#: A number, or NULL where it is NaN or infinite.
+KNOWN = ("case when abs(cast(`{0}` as double)) < double('infinity') and not isnan(cast(`{0}` as double))"
+         " then cast(`{0}` as double) end")
+
+
+def known_number(column: str) -> Column:
+    return F.expr(KNOWN.format(column))
+
+
 def _numeric_stages(rows: DataFrame, numeric: Sequence[str]) -> tuple[list, list[str]]:
-    """A stage that gives NULL and NaN the training mean, all means in one pass.
+    """A stage that gives NULL, NaN and infinity the training mean, all means in one pass.
     A column without any value tells nothing and is left out of the model."""
     if not numeric:
         return [], []
-    known = {c: f"nanvl(cast(`{c}` as double), cast(null as double))" for c in numeric}
-    means = rows.agg(*[F.expr(f"avg({value})").alias(c) for c, value in known.items()]).first()
+    known = {c: KNOWN.format(c) for c in numeric}
+    means = rows.agg(*[F.avg(known_number(c)).alias(c) for c in numeric]).first()
     filled = {
         f"{FILLED}{c}": f"coalesce({value}, {means[c]!r}D)"
         for c, value in known.items() if means[c] is not None
@@ -148,11 +157,16 @@ def fit_best(
         c.copy().setParams(featuresCol=VECTOR, labelCol="__label", predictionCol=prediction)
         for c in candidates or default_candidates()
     ]
+    # a tree needs a bin for each value of a category, and one for those it has not seen
+    bins = 1 + max((len(x) for m in prepared.stages for x in getattr(m, "labelsArray", [])), default=0)
+    for regressor in regressors:
+        if regressor.hasParam("maxBins"):
+            regressor.setParams(maxBins=max(bins, regressor.getMaxBins()))
     best = regressors[0]
     if len(regressors) > 1:
         training, validation = assembled.where("__training"), assembled.where("not __training")
-        if training.isEmpty() or validation.isEmpty():  # too few rows to hold some back
-            training = validation = assembled
+        if training.isEmpty() or validation.isEmpty():
+            raise ValueError("too few rows to hold some back: give one candidate, or more rows")
         evaluator = RegressionEvaluator(
             labelCol="__label", predictionCol=prediction, metricName="rmse"
         )

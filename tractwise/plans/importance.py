@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
-from tractwise.columns import NUMERIC_FEATURES
+from tractwise.columns import NUMERIC_FEATURES, SHARE
 from tractwise.operators.attribution import (
     attribution_table, rank_attributions, sampled_attributions, training_baseline,
 )
@@ -18,7 +18,7 @@ def importance_predictions(
     top: DataFrame, training: DataFrame, model: PipelineModel, **options: object
 ) -> DataFrame:
     """State, tract and signed importance struct for each row of ``top``."""
-    baseline = training_baseline(training, NUMERIC_FEATURES, ["state"])
+    baseline = training_baseline(training, NUMERIC_FEATURES, ["state"], label=SHARE)
     return sampled_attributions(
         top, model, baseline=baseline, features=MODEL_FEATURES, keys=["state", "geo_id"], **options
     )

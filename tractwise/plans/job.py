@@ -15,7 +15,7 @@ from tractwise.operators.models import load_model, save_model
 from tractwise.plans import importance, scenarios, staging
 from tractwise.sources.files import read_state_codes
 from tractwise.sources.tables import (
-    ensure_schema, latest_schema, replace_table, replace_view, write_counted,
+    ensure_schema, replace_table, replace_view, write_counted,
 )
 
 INCOME_MODEL = "economic_impact"
@@ -108,7 +108,7 @@ def build_importance(
     spark: SparkSession, models: str, *, stage: str = "staging", run: str | None = None, **options: object
 ) -> None:
     """Score the top tracts with attributions into a schema of their own, then
-    store them per state, wide and ranked. Reads the latest such schema back."""
+    store them per state, wide and ranked. Only this run's schema is read back."""
     run = run or datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S")
     ensure_schema(spark, f"{PREDICTIONS}{run}")
     predictions = importance.scored_predictions(
@@ -118,7 +118,7 @@ def build_importance(
         **options,
     )
     replace_table(predictions, f"{PREDICTIONS}{run}.predictions")
-    found = latest_schema(spark, PREDICTIONS)
+    found = f"{PREDICTIONS}{run}"
     table = replace_table(
         importance.importance_table(spark.table(f"{found}.predictions")),
         f"{found}.feature_importance", group="state_code",

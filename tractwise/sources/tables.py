@@ -22,10 +22,14 @@ def ensure_schema(spark: SparkSession, name: str, location: str | None = None) -
 
 
 def latest_schema(spark: SparkSession, prefix: str) -> str:
-    """The namespace whose name starts with ``prefix`` and sorts last."""
+    """The namespace whose name starts with ``prefix`` and whose rest is the last: the
+    largest number if all are numbers (run 10 is after run 9), else the last in order."""
     names = [d.name for d in spark.catalog.listDatabases(f"{prefix}*")]
     if not names:
         raise LookupError(f"no schema starts with {prefix!r}")
+    rests = {name: name[len(prefix):] for name in names}
+    if all(r.isdigit() for r in rests.values()):
+        return max(names, key=lambda name: int(rests[name]))
     return max(names)
 
 
