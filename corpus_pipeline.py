@@ -16,7 +16,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents that no quality rule rejects."""
     verdicts = quality.quality_rules(docs)
     gone = Stored(spark)(verdicts.where("not kept").select(F.col("doc_id").alias("__id")).distinct())
-    # a row without an id, which no join finds, is judged by the base rules alone
+    # a verdict is found by its id: a row without one stays
     return docs.join(replicated_if_small(gone), F.col("doc_id") == F.col("__id"), "left_anti")
 
 
