@@ -214,5 +214,7 @@ def archive_pages(
     typed = rows.join(replicated_if_small(firsts), same, "left").withColumn(
         "refers_to", F.when(F.col("first") != F.col("page_id"), F.col("first")))
     archives = stored(write_monolithic(typed, f"{folder}/whole"))
-    index = stored(normalise(archives.repartition(F.col("archive")), f"{folder}/records"))
-    return read(index)
+    # paths and index rows are few bytes for much work, so Spark must not merge their tasks by size
+    tasks = max(1, archives.count())
+    index = stored(normalise(archives.repartition(tasks), f"{folder}/records"))
+    return read(index.repartitionByRange(tasks, "archive", "offset").sortWithinPartitions("archive", "offset"))
