@@ -243,3 +243,12 @@ def test_secrets_on_held_out_findings(spark, docs):
     tried = secrets.scan(found.where("doc_id % 2 = 1"), model).collect()
     assert sum(r.is_secret == (r.doc_id < 1000) for r in tried) >= 0.97 * len(tried)
     assert secrets.scan_documents(docs).count() == 0 and secrets.scan_documents(empty(docs)).count() == 0
+
+
+def test_common_ends_do_not_change_the_edit_distance(spark):
+    pairs = [("x y z", "x z"), ("", "a b"), ("a a b", "a b"), ("ab c", "b c"), ("a b", "a b"), ("é a", "a é"),
+             ("a b a b", "a b"), ("cc ab cc", "ab"), ("a", "b")]
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "u int, lu string, lv string")
+    cut = lines._without_common_ends(df, ["u"]).toDF("u", "cu", "cv")
+    wrong = df.join(cut, "u").where(F.levenshtein("lu", "lv") != F.levenshtein("cu", "cv"))
+    assert cut.count() == len(pairs) and wrong.count() == 0
