@@ -13,7 +13,10 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from tractwise.session import REPLICATE_BYTES, fits_in_tasks, replicated_if_small
+from tractwise.session import REPLICATE_BYTES, fits_in_tasks, measured_bytes, replicated_if_small
+
+#: The size of a block of rows where a product is joined block by block.
+BLOCK_BYTES = 64 * 1024 * 1024
 
 
 def period_diff(
@@ -93,20 +96,23 @@ def cross_dimension(
     dim: DataFrame,
     *,
     max_bytes: int = REPLICATE_BYTES,
-    blocks: int = 64,
+    blocks: int | None = None,
 ) -> DataFrame:
     """Every row of ``df`` with every row of ``dim``; ``dim`` columns come first.
 
     A ``dim`` measured at ``max_bytes`` or less goes to the tasks as one array
     and is exploded next to each row: no shuffle. A larger one is joined block
-    by block: rows of ``df`` are dealt over ``blocks``, ``dim`` is copied to each
-    block, and the block number is the join key. The merge hint keeps Spark from
+    by block: rows of ``df`` are dealt over ``blocks``, by default as many as keep a
+    block of ``df`` near ``BLOCK_BYTES``, ``dim`` is copied to each block, and the
+    block number is the join key. The merge hint keeps Spark from
     broadcasting the copies, whose number its size estimate does not see.
     """
     if fits_in_tasks(dim, max_bytes):
         members = dim.select(F.collect_list(F.struct(*dim.columns))).scalar()
         return df.withColumn("__dim", F.explode(members)).select("__dim.*", *df.columns)
-    block = F.pmod(F.xxhash64(*df.columns), F.lit(blocks)).cast("int")
+    blocks = blocks or max(1, -(-measured_bytes(df) // BLOCK_BYTES))
+    # as JSON, since maps have no hash
+    block = F.pmod(F.xxhash64(F.to_json(F.struct(*df.columns))), F.lit(blocks)).cast("int")
     dealt = df.withColumn("__block", block)
     copies = dim.withColumn("__block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     return dealt.join(copies.hint("merge"), "__block").select(*dim.columns, *df.columns)
