@@ -252,3 +252,21 @@ def test_common_ends_do_not_change_the_edit_distance(spark):
     cut = lines._without_common_ends(df, ["u"]).toDF("u", "cu", "cv")
     wrong = df.join(cut, "u").where(F.levenshtein("lu", "lv") != F.levenshtein("cu", "cv"))
     assert cut.count() == len(pairs) and wrong.count() == 0
+
+
+def test_signatures_are_majorities_at_every_width(spark):
+    sizes = [1, 2, 62, 63, 64, 65, 700]
+    words = spark.createDataFrame([(n, k) for n in sizes for k in range(n)], "n bigint, k int")
+    hashes = {n: [] for n in sizes}
+    for r in words.select("n", F.xxhash64(F.concat(F.lit("w"), "k")).alias("h")).collect():
+        hashes[r.n].append(r.h)
+    want = {n: sum(1 << p for p in range(lines.BITS) if 2 * sum(h >> p & 1 for h in own) > n)
+            for n, own in hashes.items()}
+    table = spark.createDataFrame([(n, " ".join(f"W{k}  w{k}" for k in range(n))) for n in sizes], "doc_id bigint, text string")
+    found = {r.doc_id: (r.n, r.sig) for r in lines.line_signatures(table, 1).collect()}
+    assert found == {n: (n, want[n]) for n in sizes}
+    counted = spark.createDataFrame(list(hashes.items()), "n bigint, hashes array<bigint>")
+    for width in lines.WIDTHS:
+        fits = [n for n in sizes if n < 1 << width - 1]
+        got = counted.where(F.col("n").isin(fits)).select("n", lines._majority(width).alias("sig"))
+        assert {r.n: r.sig for r in got.collect()} == {n: want[n] for n in fits}
