@@ -270,3 +270,37 @@ def test_signatures_are_majorities_at_every_width(spark):
         fits = [n for n in sizes if n < 1 << width - 1]
         got = counted.where(F.col("n").isin(fits)).select("n", lines._majority(width).alias("sig"))
         assert {r.n: r.sig for r in got.collect()} == {n: want[n] for n in fits}
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        left, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            left, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, left + (x != y))
+    return row[-1]
+
+
+def test_similar_lines_are_found_as_brute_force_finds_them(spark):
+    rng = random.Random(9)
+    texts = []
+    for i, n in enumerate([6, 8, 10, 12, 15, 20, 25, 30, 40] * 8):
+        words = [f"{rng.choice('abcdefgh')}{rng.randrange(10 ** 5):05}" for _ in range(n)]
+        changed = list(words)
+        for at in rng.sample(range(n), max(1, n // 10)):
+            changed[at] = changed[at][:-1] + "x" if n < 10 else f"z{rng.randrange(10 ** 5):05}"
+        texts += [" ".join(words), " ".join(changed)]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    want = {i + 1 for i in range(0, len(texts), 2)
+            if 10 * distance(texts[i], texts[i + 1]) <= max(len(texts[i]), len(texts[i + 1]))}
+    got = {r.doc_id for r in lines.duplicate_lines(table).collect()}
+    assert len(want) > 50 and got <= want and len(got) >= 0.97 * len(want)
+
+
+def test_a_common_passage_makes_no_bucket_of_all_lines(spark):
+    passage = sentence(50, 12)
+    rows = [(i, f"{sentence(2000 + i, 15)} {passage} {sentence(9000 + i, 15)}") for i in range(1200)]
+    table, stored = spark.createDataFrame(rows, "doc_id bigint, text string"), Stored(spark)
+    marked = lines.line_minima(table, 5, lines.common_pairs(table, 5))
+    found = lines.buckets(marked, stored, "size", lines._least_keys())
+    assert found.groupBy("key").count().where("count > 20").count() == 0
