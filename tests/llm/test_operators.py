@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
@@ -304,3 +305,40 @@ def test_a_common_passage_makes_no_bucket_of_all_lines(spark):
     marked = lines.line_minima(table, 5, lines.common_pairs(table, 5))
     found = lines.buckets(marked, stored, "size", lines._least_keys())
     assert found.groupBy("key").count().where("count > 20").count() == 0
+
+
+def test_scores_equal_brute_force_whatever_is_broadcast(spark):
+    rng = random.Random(3)
+    texts = [(i, " ".join(f"v{int(rng.expovariate(0.05))}" for _ in range(rng.randrange(1, 60))), i % 4 == 0) for i in range(60)]
+    rows = [*texts, texts[4], texts[4], (900, "", True), (901, None, None), (None, "v1 v2 v3", None), (7, "v1 v2 other", False)]
+    split = [((t or "").split(), bool(good)) for _, t, good in rows]
+    words, pairs = [Counter(), Counter()], [Counter(), Counter()]
+    for w, good in split:
+        for i in (0, 1) if good else (1,):
+            words[i].update(w)
+            pairs[i].update(zip(w, w[1:]))
+    held = {w for w, n in words[1].items() if n > 1}
+    size = words[0].total()
+    scale = (1, size / words[1].total())
+    unknown = [max(0, size - sum(words[i][w] for w in held) * scale[i]) for i in (0, 1)]
+
+    def loss(w, i):
+        def count(x):
+            return words[i][x] * scale[i] if x in held else unknown[i]
+
+        out = []
+        for at, x in enumerate(w):
+            chance = (count(x) + 0.5) / (size + 0.5 * (len(held) + 1))
+            if at:
+                pair = (w[at - 1], x)
+                seen = pairs[i][pair] * scale[i] if pairs[1][pair] > 1 else 0
+                chance = (min(seen / count(w[at - 1]), 1) if count(w[at - 1]) else 0) / 2 + chance / 2
+            out.append(-np.log(chance))
+        return float(np.mean(out))
+
+    want = sorted((i is None, i or 0, len(w), *((loss(w, 0), loss(w, 1)) if w else (0, 0))) for (i, _, _), (w, _) in zip(rows, split))
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, good boolean")
+    for share in (1e-6, 0.02, 1.0):
+        got = sorted((r.doc_id is None, r.doc_id or 0, r.n_tokens, r.target_loss or 0, r.background_loss or 0)
+                     for r in lmscore.cross_entropy_difference(table, chosen_column="good", share=share).collect())
+        assert len(got) == len(want) and np.allclose(np.array(got, float), np.array(want, float), atol=1e-9)

@@ -6,115 +6,133 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tractwise.llm.tables import Stored
 from tractwise.llm.text import mixed, salt, word_hashes
+from tractwise.session import replicated_if_small
 
 #: Texts are counted and scored in parts of so many rows, and counts handed on from so many entries.
 PART, ENTRIES = 200, 1_000_000
+#: What stands before a word where it is counted alone; the models' weight of pairs and the count added to words.
+ALONE, WEIGHT, ADD = 0, 0.5, 0.5
 
 
-def _pairs(words: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words that follow another one in their text with it, and their places."""
-    follows = np.ones(len(words), bool)
-    follows[ends[:-1][ends[:-1] < len(words)]] = False
-    at = np.flatnonzero(follows)
-    return mixed(words[at - 1] * np.uint64(3) ^ mixed(words[at] ^ salt(1))), at
+def _grams(words: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All words, then all pairs of neighbours in a text: what stands before, the word, a hash of both, the text."""
+    owner = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+    at = np.flatnonzero(owner[1:] == owner[:-1]) + 1
+    before = np.concatenate([np.full(len(words), ALONE, np.uint64), words[at - 1]])
+    word = np.concatenate([words, words[at]])
+    return before, word, _gram(before, word), np.concatenate([owner, owner[at]])
 
 
-def _summed(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    grams, target, background = (np.concatenate(x) for x in zip(*parts))
-    grams, place = np.unique(grams, return_inverse=True)
-    return (grams, np.bincount(place, target, len(grams)).astype(np.int64),
-            np.bincount(place, background, len(grams)).astype(np.int64))
+def _gram(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return mixed(before * np.uint64(3) ^ mixed(word ^ salt(1)))
+
+
+def _summed(parts: list[tuple]) -> tuple:
+    before, word, gram, target, background = (np.concatenate(x) for x in zip(*parts))
+    gram, first, place = np.unique(gram, return_index=True, return_inverse=True)
+    return (before[first], word[first], gram, np.bincount(place, target, len(gram)).astype(np.int64),
+            np.bincount(place, background, len(gram)).astype(np.int64))
 
 
 def _counted(batches: Iterator[pa.RecordBatch]):
-    """Counts of words and word pairs of a task: hash, kind, in target texts, in all texts."""
-    held: dict[int, list] = {1: [], 2: []}  # so a task's memory is bounded, whatever its share of texts
+    """Counts of words and word pairs of a task: what stands before, the word, in target texts, in all texts."""
+    held: list[tuple] = []  # so a task's memory is bounded, whatever its share of texts
 
     def out():
-        for kind, parts in held.items():
-            if parts:
-                grams, target, background = _summed(parts)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(grams.view(np.int64)), pa.array(np.full(len(grams), kind, np.int8)),
-                    pa.array(target), pa.array(background)], ["gram", "kind", "target", "background"])
-            parts.clear()
+        if held:
+            before, word, _, target, background = _summed(held)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(before.view(np.int64)), pa.array(word.view(np.int64)), pa.array(target), pa.array(background)],
+                ["before", "word", "target", "background"])
+        held.clear()
 
     for batch in batches:
         for start in range(0, batch.num_rows, PART):
             part = batch.slice(start, PART)
-            words, ends = word_hashes(part.column("text"))
+            before, word, gram, owner = _grams(*word_hashes(part.column("text")))
             chosen = part.column("chosen").to_numpy(zero_copy_only=False).astype(bool)
-            mine = np.repeat(chosen, np.diff(ends)).astype(np.int64)
-            pairs, at = _pairs(words, ends)
-            held[1].append(_summed([(words, mine, np.ones(len(words), np.int64))]))
-            held[2].append(_summed([(pairs, mine[at], np.ones(len(pairs), np.int64))]))
-            if sum(len(p[0]) for p in held[2]) > ENTRIES:
+            held.append(_summed([(before, word, gram, chosen[owner].astype(np.int64), np.ones(len(gram), np.int64))]))
+            if sum(len(p[0]) for p in held) > ENTRIES:
                 yield from out()
     yield from out()
 
 
-class Model:
-    """Two interpolated bigram models over one vocabulary.
+def _weights(counts: DataFrame, sizes: tuple[int, int], stored: Stored) -> tuple[DataFrame, list[float]]:
+    """What each kept word and pair adds to a text's losses, and the loss of an unknown word, under both models.
 
-    The counts of the background are scaled to the size of the target, so both are
-    smoothed alike. Words outside the vocabulary are one unknown word.
+    A token's loss is that of an unknown word in a pair never seen, plus what its word
+    adds, plus what the pair with the word before adds. The counts of the background are
+    scaled to the size of the target, so both models are smoothed alike.
     """
-
-    def __init__(self, words: tuple, pairs: tuple, sizes: tuple[int, int], weight: float = 0.5, add: float = 0.5):
-        self.words, self.pairs, self.weight = words, pairs, weight
-        size = max(1, sizes[0])
-        scale = (1.0, size / max(1, sizes[1]))
-        self.single, self.count, self.pair = [], [], []
-        for i in (0, 1):
-            counts = words[1 + i] * scale[i]
-            unknown = max(0.0, size - counts.sum())
-            total = size + add * (len(counts) + 1)
-            # the last entry is the unknown word
-            self.single.append((np.append(counts, unknown) + add) / total)
-            self.count.append(np.append(counts, unknown))
-            self.pair.append(np.append(pairs[1 + i] * scale[i], 0.0))
-
-    @staticmethod
-    def _found(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
-        at = np.searchsorted(table, keys)
-        at[at == len(table)] = 0
-        return np.where(table[at] == keys, at, len(table)) if len(table) else np.zeros(len(keys), np.int64)
-
-    def losses(self, words: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Negative log-likelihood of every token under the target and the background model."""
-        own = self._found(self.words[0], words)
-        pairs, at = _pairs(words, ends)
-        pair = self._found(self.pairs[0], pairs)
-        out = []
-        for i in (0, 1):
-            chance = self.single[i][own]
-            before = self.count[i][own[at - 1]]
-            joint = np.divide(self.pair[i][pair], before, out=np.zeros(len(at)), where=before > 0)
-            chance[at] = self.weight * np.minimum(joint, 1.0) + (1 - self.weight) * chance[at]
-            out.append(-np.log(chance))
-        return out[0], out[1]
-
-
-def _scored(model):
+    single = stored(counts.where(f"before = {ALONE} and background > 1").drop("before"))
+    pairs = counts.where(f"before <> {ALONE} and background > 1")
+    n, *held = single.agg(
+        F.count(F.lit(1)), F.coalesce(F.sum("target"), F.lit(0)), F.coalesce(F.sum("background"), F.lit(0))).first()
+    size = max(1, sizes[0])
+    scale = (1.0, size / max(1, sizes[1]))
+    total = size + ADD * (n + 1)
+    unknown = [max(0.0, size - held[i] * scale[i]) for i in (0, 1)]
+    base = [-float(np.log((1 - WEIGHT) * (unknown[i] + ADD) / total)) for i in (0, 1)]
+
+    def alone(i: int, count: str) -> Column:
+        return (F.coalesce(F.col(count) * scale[i], F.lit(unknown[i])) + ADD) / total
+
+    def paired(i: int, count: str) -> Column:
+        before = F.coalesce(F.col(f"b{count}") * scale[i], F.lit(unknown[i]))
+        joint = F.when(before > 0, F.least(F.col(count) * scale[i] / before, F.lit(1.0))).otherwise(0.0)
+        rest = (1 - WEIGHT) * alone(i, f"w{count}")
+        return F.log(rest) - F.log(WEIGHT * joint + rest)
+
+    kinds = ("target", "background")
+    words = single.select(
+        F.lit(ALONE).cast("bigint").alias("before"), "word", "background",
+        *[(-F.log((1 - WEIGHT) * alone(i, c)) - base[i]).alias(f"add_{c}") for i, c in enumerate(kinds)])
+    side = replicated_if_small(single)
+    of_word = side.toDF("word", "wtarget", "wbackground")
+    of_before = side.toDF("before", "btarget", "bbackground")
+    joined = pairs.join(of_word, "word", "left").join(of_before, "before", "left")
+    added = joined.select("before", "word", "background", *[paired(i, c).alias(f"add_{c}") for i, c in enumerate(kinds)])
+    return stored(words.unionByName(added)), base
+
+
+def _scored(common, base: list[float]):
+    """Of each text a row with what ``common`` entries make of its losses, and a row for each other entry in it."""
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             for start in range(0, batch.num_rows, PART):
                 part = batch.slice(start, PART)
                 words, ends = word_hashes(part.column("text"))
+                before, word, gram, owner = _grams(words, ends)
+                table, *adds = common.value
+                at = np.searchsorted(table, gram)
+                at[at == len(table)] = 0
+                there = table[at] == gram if len(table) else np.zeros(len(gram), bool)
                 n = np.diff(ends)
-                sums = []
-                for loss in model.value.losses(words, ends):
-                    total = np.concatenate([[0.0], np.cumsum(loss)])
-                    with np.errstate(invalid="ignore"):
-                        sums.append((total[ends[1:]] - total[ends[:-1]]) / n)
-                arrays = [pa.array(x, mask=n == 0) for x in (*sums, sums[0] - sums[1])]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(n.astype(np.int64)), *arrays],
-                    ["doc_id", "n_tokens", "target_loss", "background_loss", "difference"])
+                sums = [np.bincount(owner[there], add[at[there]], len(n)) + n * b + (n > 0) * np.log(1 - WEIGHT)
+                        for add, b in zip(adds, base)]  # a first word has no pair, so it keeps its whole chance
+                left = np.flatnonzero(~there)
+                left = left[np.lexsort((gram[left], owner[left]))]
+                new = np.ones(len(left), bool)
+                new[1:] = (gram[left][1:] != gram[left][:-1]) | (owner[left][1:] != owner[left][:-1])
+                times = np.diff(np.append(np.flatnonzero(new), len(left)))
+                left = left[new]
+                # a text's own row has a key that no entry has, so these rows are dealt evenly
+                none, ids = np.zeros(len(left), np.int64), np.concatenate([np.arange(len(n)), owner[left]])
+                key = part.column("key").to_numpy()
+                columns = {
+                    "doc_id": part.column("doc_id").take(pa.array(ids)), "key": pa.array(key[ids]),
+                    "copies": pa.array(np.concatenate([np.ones(len(n), np.int64), none])),
+                    "n_tokens": pa.array(np.concatenate([n.astype(np.int64), none])),
+                    "before": pa.array(np.concatenate([key, before[left].view(np.int64)])),
+                    "word": pa.array(np.concatenate([mixed(key.view(np.uint64)), word[left]]).view(np.int64)),
+                    "times": pa.array(np.concatenate([np.zeros(len(n), np.int64), times])),
+                    "target": pa.array(np.concatenate([sums[0], none])), "background": pa.array(np.concatenate([sums[1], none])),
+                }
+                yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
     return run
 
 
@@ -131,30 +149,44 @@ def cross_entropy_difference(
     count as often as they occur. Without chosen rows the target model knows no word.
 
     All words and word pairs of all texts are counted: in the tasks first, then by a
-    shuffle of their hashes. The models hold those that make up at least ``share`` of
-    all tokens and occur twice, so at most ``1 / share`` words and as many pairs, and
-    are broadcast (32 bytes an entry) to a second pass, which scores whole texts.
+    shuffle of their hashes. The models hold all that occur twice, whatever the size of
+    the input; other words are one unknown word. What an entry adds to a text's losses is
+    joined to the texts' own counts and summed per text. Entries that make up at least
+    ``share`` of all tokens, so at most ``1 / share`` words and as many pairs, are
+    broadcast instead (24 bytes each), so no key of the join is frequent.
     """
     spark = docs.sparkSession
     stored = Stored(spark)
     rows = docs.select(
         F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"),
         F.coalesce(F.col(chosen_column).cast("boolean"), F.lit(False)).alias("chosen"))
-    counted = rows.mapInArrow(_counted, "gram bigint, kind tinyint, target bigint, background bigint")
+    counted = rows.mapInArrow(_counted, "before bigint, word bigint, target bigint, background bigint")
     counts = stored(
-        counted.groupBy("kind", "gram").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
-        .where("background > 1 or kind = 1"))
-    sizes = counts.where("kind = 1").agg(
+        counted.groupBy("before", "word").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
+        .where(f"background > 1 or before = {ALONE}"))
+    sizes = counts.where(f"before = {ALONE}").agg(
         F.coalesce(F.sum("target"), F.lit(0)), F.coalesce(F.sum("background"), F.lit(0))).first()
-    least = max(2, share * sizes[1])
-    kept = counts.where(F.col("background") >= least).toPandas().sort_values("gram")
-    tables = []
-    for kind in (1, 2):
-        own = kept[kept.kind == kind]
-        grams = own.gram.to_numpy().view(np.uint64)
-        order = np.argsort(grams)
-        tables.append((grams[order], own.target.to_numpy()[order], own.background.to_numpy()[order]))
-    model = spark.sparkContext.broadcast(Model(*tables, tuple(sizes)))
+    weights, base = _weights(counts, tuple(sizes), stored)
+    often = F.col("background") >= share * sizes[1]
+    kept = weights.where(often).toPandas()
+    gram = _gram(kept.before.to_numpy(np.int64).view(np.uint64), kept.word.to_numpy(np.int64).view(np.uint64))
+    order = np.argsort(gram)
+    common = spark.sparkContext.broadcast(
+        (gram[order], kept.add_target.to_numpy(float)[order], kept.add_background.to_numpy(float)[order]))
     kind = dict(rows.dtypes)["doc_id"]
-    return rows.select("doc_id", "text").mapInArrow(
-        _scored(model), f"doc_id {kind}, n_tokens bigint, target_loss double, background_loss double, difference double")
+    parts = rows.select("doc_id", "text", F.xxhash64("text").alias("key")).mapInArrow(
+        _scored(common, base), f"doc_id {kind}, key bigint, copies bigint, n_tokens bigint, before bigint, word bigint, "
+        "times bigint, target double, background double")
+
+    def total(kind: str) -> Column:
+        return F.sum(F.col(kind) + F.col("times") * F.coalesce(f"add_{kind}", F.lit(0.0)))
+
+    # rows of one id and text are summed as one and given back as often as they occur
+    texts = parts.join(weights.where(~often).drop("background"), ["before", "word"], "left").groupBy("doc_id", "key").agg(
+        F.sum("copies").alias("copies"), F.max("n_tokens").alias("n_tokens"), total("target").alias("t"), total("background").alias("b"))
+    tokens = F.when(F.col("n_tokens") > 0, F.col("copies") * F.col("n_tokens"))
+    return texts.select(
+        "doc_id", "n_tokens", (F.col("t") / tokens).alias("target_loss"), (F.col("b") / tokens).alias("background_loss"),
+        F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")).alias("copy")).select(
+        "doc_id", "n_tokens", "target_loss", "background_loss",
+        (F.col("target_loss") - F.col("background_loss")).alias("difference"))
