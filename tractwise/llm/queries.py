@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tractwise.llm import chat, lines, lmscore, minhash, mixing, packing, quality, secrets, topk, warc
+from tractwise.llm import chat, lines, lmscore, minhash, mixing, packing, quality, secrets, sumsquares, topk, warc
 from tractwise.session import replicated_if_small
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -150,3 +150,8 @@ def op3_cross_entropy_difference(table):
         replicated_if_small(good), F.col("doc_id") == F.col("__id"), "left")
     return lmscore.cross_entropy_difference(
         docs.withColumn("chosen", F.col("__id").isNotNull()), chosen_column="chosen")
+
+
+@query()
+def op12_sum_of_squares_packing(table):
+    return sumsquares.pack_online(table("documents").select("doc_id", "text"))
