@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tractwise.llm import chat, lines, lmscore, minhash, mixing, packing, quality, secrets, sumsquares, topk, warc
+from tractwise.llm import chat, lines, lmscore, minhash, mixing, negatives, packing, quality, secrets, sumsquares, topk, warc
 from tractwise.session import replicated_if_small
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -155,3 +155,29 @@ def op3_cross_entropy_difference(table):
 @query()
 def op12_sum_of_squares_packing(table):
     return sumsquares.pack_online(table("documents").select("doc_id", "text"))
+
+
+@query(r"""
+with v as (
+  select vec_id, min({'label': case when vec_id % 7 = 0 then (label + 1) % 10 else label end::bigint,
+    'ints': list_transform(embedding, lambda x: floor(x::double * 256)::bigint)}) as r from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+  group by vec_id),
+s as (
+  select a.vec_id as anchor_id, b.vec_id, a.r.label = b.r.label as own,
+    list_inner_product(a.r.ints::double[], b.r.ints::double[])::bigint as score
+  from v a join v b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0),
+p as (
+  select anchor_id, vec_id as positive_id, score as positive_score from s where own
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5),
+n as (
+  select p.*, s.vec_id as negative_id, s.score as negative_score,
+    row_number() over (partition by p.anchor_id, p.positive_id order by s.score desc, s.vec_id)::int as rank
+  from p join s on s.anchor_id = p.anchor_id and not s.own
+    and 80 * p.positive_score <= 100 * s.score and s.score <= p.positive_score)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from n where rank <= 5
+""")
+def op11_str_tree_negatives(table):
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table("embeddings").select("vec_id", "embedding", moved.alias("label")))
