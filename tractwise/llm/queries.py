@@ -6,13 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tractwise.llm import chat, lines, lmscore, minhash, mixing, negatives, packing, quality, secrets, sumsquares, topk, warc
+from tractwise.llm import chat, lines, lmscore, minhash, mixing, negatives, packing, quality, repair, secrets, sumsquares, topk, warc
 from tractwise.session import replicated_if_small
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+def way(v: str, cost: str, edit: str) -> str:
+    """SQL: the way ``v`` (12 digits of cost, then edits) with one more edit."""
+    return f"(lpad((substr({v}, 1, 12)::bigint + {cost})::varchar, 12, '0') || substr({v}, 13) || '{edit}')"
+
+
+def step(v: str, fits: str) -> str:
+    """SQL: the way ``v`` with row ``x`` kept if its initial ``fits`` what comes next, else given that role."""
+    stays = "(case x.fault when 0 then 0 when 1 then 3 else 90000000 end)"
+    return f"(case when x.ini = '{fits}' then {way(v, stays, 'K')} else {way(v, stays + ' + 3', 'R')} end)"
+
+
 def query(sql: str | None = None):
     """Register a function of a table reader under its own name."""
 
@@ -181,3 +192,72 @@ select anchor_id, positive_id, rank, negative_id, positive_score, negative_score
 def op11_str_tree_negatives(table):
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return negatives.hard_negatives(table("embeddings").select("vec_id", "embedding", moved.alias("label")))
+
+
+@query(rf"""
+with crc as (
+  select list_transform(range(256), lambda n: list_reduce(range(8),
+    lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, n)) as t),
+k as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    xor(list_reduce(list_transform(string_split(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '), ''),
+      lambda x: ascii(x)::bigint), lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8), 4294967295::bigint), 4294967295) % 20 as kind
+  from conversations, crc),
+damaged as (
+  select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+    case kind when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+    unnest(case when kind = 3 then [1, 2] else [1] end) as copy
+  from k where kind <> 0),
+numbered as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, text, copy) as n from damaged),
+faulty as (
+  select *, role[1] as ini, lag(role[1]) over (partition by conv_id order by n) as before,
+    case when not regexp_matches(text, '[^\x20\x09-\x0D]') then 3
+      when row_number() over (partition by conv_id, role, text order by n) > 1 then 2
+      when not regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') then 1 else 0 end as fault
+  from numbered),
+counted as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0)::bigint as gaps,
+    count(*) filter (fault = 3) as blank, count(*) filter (fault = 2) as duplicate,
+    count(*) filter (fault = 1) as truncated,
+    count(*) filter (n > 1 and before || ini not in ('su', 'ua', 'au')) as illegal,
+    -- three steps a row: its own edit, an inserted user row, an inserted assistant row
+    list_concat([{{'step': 1, 'ini': '', 'fault': 0}}, {{'step': 2, 'ini': '', 'fault': 0}}], flatten(list([
+      {{'step': 0, 'ini': ini, 'fault': fault}}, {{'step': 1, 'ini': '', 'fault': 0}}, {{'step': 2, 'ini': '', 'fault': 0}}]
+      order by n))) as steps
+  from faulty group by conv_id),
+-- a way: its cost in 12 digits, then its edits; the ways to start, system, user, assistant
+searched as (
+  select * exclude (steps), list_reduce(steps, lambda v, x: case x.step
+    when 0 then [
+      {way('v[1]', '4', 'D')},
+      least({way('v[2]', '4', 'D')}, case when x.ini = 's' then {way('v[1]', '(case x.fault when 0 then 0 when 1 then 3 else 90000000 end)', 'K')} else '099999999999' end),
+      least({way('v[3]', '4', 'D')}, {step('v[1]', 'u')}, {step('v[2]', 'u')}, {step('v[4]', 'u')}),
+      least({way('v[4]', '4', 'D')}, {step('v[3]', 'a')})]
+    when 1 then [v[1], v[2], least(v[3], {way('v[1]', '3', 'I')}, {way('v[2]', '3', 'I')}, {way('v[4]', '3', 'I')}), v[4]]
+    else [v[1], v[2], v[3], least(v[4], {way('v[3]', '3', 'I')})] end,
+    ['000000000000', '090000000000', '090000000000', '090000000000']) as ways
+  from counted),
+best as (select * exclude (ways), least(ways[1], ways[4]) as way from searched),
+edits as (
+  select conv_id, pos, substr(way, 12 + pos, 1) as edit,
+    count(*) filter (substr(way, 12 + pos, 1) <> 'I') over (partition by conv_id order by pos) as n
+  from (select conv_id, way, unnest(range(1, length(way) - 11)) as pos from best)),
+stay as (
+  select e.conv_id, e.edit, f.role, f.text, f.ini, row_number() over w as place,
+    first_value(e.edit = 'K' and f.ini = 's') over w as system
+  from edits e left join faulty f on e.conv_id is not distinct from f.conv_id and e.n = f.n and e.edit <> 'I'
+  where e.edit <> 'D' window w as (partition by e.conv_id order by e.pos)),
+texts as (
+  select conv_id, string_agg(case when edit = 'K' then role when (place - system::int) % 2 = 1 then 'user' else 'assistant' end
+    || ':' || coalesce(text, ''), chr(10) order by place) as body
+  from stay group by conv_id)
+select c.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+  coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, coalesce(way[:12]::bigint, 0) as cost,
+  coalesce(way[13:], '') as audit, sha256(coalesce(body, '')) as repaired_sha256
+from (select distinct conv_id from conversations) c
+left join best b on c.conv_id is not distinct from b.conv_id
+left join texts t on c.conv_id is not distinct from t.conv_id
+""")
+def op13_conversation_repair(table):
+    return repair.repair_report(table("conversations"))
