@@ -18,11 +18,12 @@ from tractwise.operators.models import (
     baseline_prediction, fit_best, fit_linear, load_model, predict, save_model,
     score_scenarios, what_if,
 )
+from tractwise.operators.tree_attribution import exact_attributions
 
 __all__ = [
     "argmax_rows", "attribution_table", "attributions_long", "baseline_prediction",
     "cast_key_join", "cross_dimension", "derived_population", "dispatch_measure",
-    "dispatch_unpivot", "drop_columns", "expand_struct", "fit_best", "fit_linear",
+    "dispatch_unpivot", "drop_columns", "exact_attributions", "expand_struct", "fit_best", "fit_linear",
     "group_max", "linear_attributions", "load_model", "period_diff", "predict",
     "prefix_join", "random_amount", "rank_attributions", "rank_attributions_wide",
     "replace_last", "restrict_to", "sampled_attributions", "save_model",
