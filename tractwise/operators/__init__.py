@@ -5,7 +5,7 @@ from tractwise.operators.attribution import (
     rank_attributions, rank_attributions_wide, sampled_attributions,
     training_baseline, transpose_attributions,
 )
-from tractwise.operators.boundaries import simplify_boundaries
+from tractwise.operators.boundaries import simplify_boundaries, simplify_coverage
 from tractwise.operators.columns import (
     derived_population, dispatch_measure, dispatch_unpivot, drop_columns,
     random_amount, replace_last, scenario_grid, select_features, weighted_exposure,
@@ -27,7 +27,7 @@ __all__ = [
     "group_max", "linear_attributions", "load_model", "period_diff", "predict",
     "prefix_join", "random_amount", "rank_attributions", "rank_attributions_wide",
     "replace_last", "restrict_to", "sampled_attributions", "save_model",
-    "scenario_grid", "score_scenarios", "select_features", "simplify_boundaries",
+    "scenario_grid", "score_scenarios", "select_features", "simplify_boundaries", "simplify_coverage",
     "top_k_rows", "training_baseline", "transpose_attributions", "union_all",
     "weighted_exposure", "what_if",
 ]

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, types as T
 
 from tractwise.columns import BOUNDARY_TOLERANCE_M
 from tractwise.functions.geometry import polygons_from_wkt, simplified
+from tractwise.functions.topology import simplified_together
 
 
 def simplify_boundaries(
@@ -18,3 +19,23 @@ def simplify_boundaries(
     if isinstance(df.schema[geom].dataType, T.StringType):
         df, geom = df.withColumn(output, polygons_from_wkt(geom)), output
     return df.withColumn(output, simplified(df, geom, tolerance_m))
+
+
+def simplify_coverage(
+    df: DataFrame, geom: str, *, tolerance_m: float = BOUNDARY_TOLERANCE_M, output: str | None = None
+) -> DataFrame:
+    """Generalise shapes that touch, so that they still touch: no gaps and no overlaps along shared borders.
+
+    Borders are parted at junctions, vertices whose neighbours differ between the lines
+    through them. Junctions stay; what lies between two of them is simplified from the
+    same points in the same direction wherever it occurs, so all shapes along it keep the
+    same vertices. Shapes share a border if they list the same coordinates.
+
+    ``geom`` as for ``simplify_boundaries``. A NULL shape stays NULL, repeated rows and equal
+    shapes are each simplified, lines that do not close keep their ends, and a shape
+    smaller than the tolerance may shrink to its junctions.
+    """
+    output = output or geom
+    if isinstance(df.schema[geom].dataType, T.StringType):
+        df, geom = df.withColumn(output, polygons_from_wkt(geom)), output
+    return simplified_together(df, geom, output, tolerance_m)
