@@ -14,6 +14,7 @@ from tractwise.columns import (
     EXPOSURES, EXPOSURE_TOTAL, FEATURES, GRADUATES, INDUSTRY_COLUMNS, LEAKS, MEASURE, MINORS,
     NUMERIC_FEATURES, SENIORS, SHARE,
 )
+from tractwise.functions.wkb import wkb_from_polygons
 from tractwise.operators.boundaries import simplify_boundaries
 from tractwise.plans import importance, scenarios, staging
 
@@ -390,6 +391,16 @@ def _(t):
     )
 
 
+@check("simplify_wkb", f"with recursive {OUTLINE_WITH} select * from outlines")
+def _(t):
+    one = zip_boundaries(t).select("zip_code", F.array(F.array("zip_code_geom")).alias("polygons"))
+    # both byte orders in one column
+    either = F.when(F.col("zip_code").endswith("1"), wkb_from_polygons("polygons", big_endian=True)).otherwise(
+        wkb_from_polygons("polygons"))
+    simple = simplify_boundaries(one.select("zip_code", either.alias("shape")), "shape")
+    return outline_measures(simple.select("zip_code", F.col("shape")[0][0].alias("outline")), "outline")
+
+
 def labor_model(training):
     return scenarios.labor_model(training, candidates=small_candidates())
 

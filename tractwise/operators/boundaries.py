@@ -7,17 +7,27 @@ from pyspark.sql import DataFrame, types as T
 from tractwise.columns import BOUNDARY_TOLERANCE_M
 from tractwise.functions.geometry import polygons_from_wkt, simplified
 from tractwise.functions.topology import simplified_together
+from tractwise.functions.wkb import polygons_from_wkb
+
+
+def _arrays(df: DataFrame, geom: str, output: str) -> tuple[DataFrame, str]:
+    """``df`` and the column that holds the shapes as arrays: ``output``, where ``geom`` is text or binary."""
+    kind = df.schema[geom].dataType
+    if isinstance(kind, T.StringType):
+        return df.withColumn(output, polygons_from_wkt(geom)), output
+    if isinstance(kind, T.BinaryType):
+        return df.withColumn(output, polygons_from_wkb(geom)), output
+    return df, geom
 
 
 def simplify_boundaries(
     df: DataFrame, geom: str, *, tolerance_m: float = BOUNDARY_TOLERANCE_M, output: str | None = None
 ) -> DataFrame:
     """Generalise the shapes in ``geom``: nested arrays of ``{lon, lat}`` points, or
-    polygons as well-known text. No dropped vertex lies farther than
+    polygons as well-known text or binary. No dropped vertex lies farther than
     ``tolerance_m`` from what remains. The result is always arrays."""
     output = output or geom
-    if isinstance(df.schema[geom].dataType, T.StringType):
-        df, geom = df.withColumn(output, polygons_from_wkt(geom)), output
+    df, geom = _arrays(df, geom, output)
     return df.withColumn(output, simplified(df, geom, tolerance_m))
 
 
@@ -36,6 +46,5 @@ def simplify_coverage(
     smaller than the tolerance may shrink to its junctions.
     """
     output = output or geom
-    if isinstance(df.schema[geom].dataType, T.StringType):
-        df, geom = df.withColumn(output, polygons_from_wkt(geom)), output
+    df, geom = _arrays(df, geom, output)
     return simplified_together(df, geom, output, tolerance_m)
