@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from checks.registry import check, small_candidates
 from tractwise.functions import clamp_at_zero, round_int, safe_divide
 from tractwise.operators import attribution, columns, groups, joins, models
+from tractwise.operators.effects import fit_absorbed
 from tractwise import sources
 from tractwise.session import scratch_path
 
@@ -438,6 +439,22 @@ def _(t):
     return scored.select("o_orderkey", F.round("predicted_label", 2).alias("predicted_label"))
 
 
+@check("absorbed_effects", """
+  with within as (
+    select *, l_quantity - avg(l_quantity) over o as q, l_discount - avg(l_discount) over o as d,
+      l_extendedprice - avg(l_extendedprice) over o as y
+    from lineitem window o as (partition by l_orderkey)),
+  sums as (select sum(q * q) as qq, sum(d * d) as dd, sum(q * d) as qd, sum(q * y) as qy, sum(d * y) as dy from within),
+  fit as (select (qy * dd - dy * qd) / (qq * dd - qd * qd) as bq, (dy * qq - qy * qd) / (qq * dd - qd * qd) as bd from sums)
+  select l_orderkey, l_linenumber, round(avg(l_extendedprice) over (partition by l_orderkey) + bq * q + bd * d, 4) as predicted_label
+  from within, fit""")
+def _(t):
+    model = fit_absorbed(
+        t.lineitem, label="l_extendedprice", numeric=["l_quantity", "l_discount"], categorical=["l_orderkey"])
+    scored = model.transform(t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_discount"))
+    return scored.select("l_orderkey", "l_linenumber", F.round("predicted_label", 4).alias("predicted_label"))
+
+
 @check("baseline_prediction", f"""{FIT}
   select c_custkey, cast(c_nationkey as double) as c_nationkey, c_acctbal,
     round(icpt + slope * c_nationkey, 3) as baseline from customer, fit""")

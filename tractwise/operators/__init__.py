@@ -10,6 +10,7 @@ from tractwise.operators.columns import (
     derived_population, dispatch_measure, dispatch_unpivot, drop_columns,
     random_amount, replace_last, scenario_grid, select_features, weighted_exposure,
 )
+from tractwise.operators.effects import AbsorbedModel, fit_absorbed, load_absorbed
 from tractwise.operators.groups import argmax_rows, group_max, top_k_rows
 from tractwise.operators.joins import (
     cast_key_join, cross_dimension, period_diff, prefix_join, restrict_to, union_all,
@@ -21,10 +22,10 @@ from tractwise.operators.models import (
 from tractwise.operators.tree_attribution import exact_attributions
 
 __all__ = [
-    "argmax_rows", "attribution_table", "attributions_long", "baseline_prediction",
+    "AbsorbedModel", "argmax_rows", "attribution_table", "attributions_long", "baseline_prediction",
     "cast_key_join", "cross_dimension", "derived_population", "dispatch_measure",
-    "dispatch_unpivot", "drop_columns", "exact_attributions", "expand_struct", "fit_best", "fit_linear",
-    "group_max", "linear_attributions", "load_model", "period_diff", "predict",
+    "dispatch_unpivot", "drop_columns", "exact_attributions", "expand_struct", "fit_absorbed", "fit_best", "fit_linear",
+    "group_max", "linear_attributions", "load_absorbed", "load_model", "period_diff", "predict",
     "prefix_join", "random_amount", "rank_attributions", "rank_attributions_wide",
     "replace_last", "restrict_to", "sampled_attributions", "save_model",
     "scenario_grid", "score_scenarios", "select_features", "simplify_boundaries", "simplify_coverage",
