@@ -9,13 +9,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from checks.registry import Tables, check, small_candidates
+from checks.registry import Tables, check
 from tractwise.columns import (
     EXPOSURES, EXPOSURE_TOTAL, FEATURES, GRADUATES, INDUSTRY_COLUMNS, LEAKS, MEASURE, MINORS,
     NUMERIC_FEATURES, SENIORS, SHARE,
 )
 from tractwise.functions.wkb import wkb_from_polygons
+from tractwise.operators.attribution import training_baseline
 from tractwise.operators.boundaries import simplify_boundaries
+from tractwise.operators.models import predict
 from tractwise.plans import importance, scenarios, staging
 
 PARTS = ["unemployed_pop", "not_in_labor_force", "group_quarters", "in_school", *MINORS, *SENIORS]
@@ -401,23 +403,91 @@ def _(t):
     return outline_measures(simple.select("zip_code", F.col("shape")[0][0].alias("outline")), "outline")
 
 
-def labor_model(training):
-    return scenarios.labor_model(training, candidates=small_candidates())
+# A share that is a known function of two features: the search over all kinds of models
+# must find the linear one, and every number that follows has a plain answer.
+KNOWN = f"(cast(0.2500123 as double) + {GRADUATES} * cast(0.001 as double) - poverty * cast(0.0005 as double))"
 
 
-@check("automl_labor_scenarios")
+def known_model(all_tracts):
+    training = staging.tract_training(all_tracts).withColumn(SHARE, F.expr(KNOWN))
+    return training, scenarios.labor_model(training)
+
+
+@check("automl_labor_scenarios", f"""with {TRACT_WITH}, grid as ({SCENARIOS})
+  select cast(round({GRADUATES}) as bigint) as {GRADUATES}, round({KNOWN}, 4) as {SHARE} from grid""")
 def _(t):
     all_tracts = stored_tracts(t)
-    model = labor_model(staging.tract_training(all_tracts))
+    _, model = known_model(all_tracts)
     grid = scenarios.graduate_scenarios(scenario_tracts(all_tracts, t), states(t))
-    return scenarios.scenario_report(grid, model)
+    return scenarios.scenario_report(grid, model).withColumn(SHARE, F.round(SHARE, 4))
+
+
+PARTS_OF = f"""means as (select avg({GRADUATES}) as mg, avg(poverty) as mp from tract_all),
+  parts as (
+    select state, geo_id, {KNOWN} as now, cast(0.001 as double) * ({GRADUATES} - mg) as graduates,
+      cast(-0.0005 as double) * (poverty - mp) as poor
+    from top_tracts, means)"""
+
+
+def known_predictions(t):
+    all_tracts = t.stored(tracts(t))
+    training, model = known_model(all_tracts)
+    return importance.scored_predictions(scenarios.top_tracts(all_tracts), training, model)
 
 
-@check("feature_importance_by_state")
+@check("scored_predictions", f"""with {TRACT_WITH}, {PARTS_OF}
+  select state, geo_id, round(now, 6) as predicted_label, round(graduates, 6) as graduates, round(poor, 6) as poor,
+    round(graduates + poor, 6) as together from parts""")
 def _(t):
+    parts = [F.col(f"feature_importance.{c}") for c in importance.MODEL_FEATURES]
+    return known_predictions(t).select(
+        "state", "geo_id", F.round("predicted_label", 6).alias("predicted_label"),
+        F.round(f"feature_importance.{GRADUATES}", 6).alias("graduates"),
+        F.round("feature_importance.poverty", 6).alias("poor"), F.round(sum(parts), 6).alias("together"))
+
+
+FEATURE_NAMES = ", ".join(f"'{c}'" for c in importance.MODEL_FEATURES)
+
+
+@check("importance_report", f"""with {TRACT_WITH}, {PARTS_OF},
+  numbered as (select *, row_number() over (partition by state order by geo_id) as n from parts),
+  entries as (
+    select state, n, feature, case feature when '{GRADUATES}' then round(graduates, 6) when 'poverty' then round(poor, 6)
+      else 0.0::double end as importance
+    from numbered, (select unnest([{FEATURE_NAMES}]) as feature)),
+  turned as (
+    select state, feature, max(importance) filter (n = 1) as tract_1, max(importance) filter (n = 2) as tract_2
+    from entries group by state, feature)
+  select *, cast(row_number() over (partition by state order by abs(tract_1) desc nulls last, feature) as int) as rank
+  from turned""")
+def _(t):
+    table = importance.importance_table(known_predictions(t))
+    rounded = table.select("state_code", "tract", *[
+        F.expr(f"case when round(`{c}`, 6) = 0 then 0D else round(`{c}`, 6) end").alias(c)
+        for c in importance.MODEL_FEATURES])
+    return importance.importance_report(t.stored(rounded))
+
+
+@check("feature_importance_by_state", f"""with {TRACT_WITH}
+  select state, geo_id as tract, {len(importance.MODEL_FEATURES)}::bigint as features,
+    {sum(range(len(importance.MODEL_FEATURES) + 1))}::bigint as ranks, true as adds_up, true as in_order
+  from top_tracts""")
+def _(t):
+    """The real share: what the searched model's importances must fulfil, whichever model it is."""
     all_tracts = stored_tracts(t)
     training = staging.tract_training(all_tracts)
-    predictions = importance.importance_predictions(
-        scenarios.top_tracts(all_tracts), training, labor_model(training), permutations=4
-    )
-    return importance.ranked_importance(importance.importance_table(predictions))
+    model = scenarios.labor_model(training)
+    scored = t.stored(importance.scored_predictions(scenarios.top_tracts(all_tracts), training, model))
+    baseline = training_baseline(training, NUMERIC_FEATURES, ["state"], label=SHARE)
+    types = {f.name: f.dataType for f in training.schema}
+    base = predict(t.spark.range(1).select(*[
+        F.lit(baseline[c]).cast(types[c]).alias(c) for c in importance.MODEL_FEATURES]), model).first().predicted_label
+    ranked = importance.ranked_importance(importance.importance_table(scored))
+    sizes = F.transform(F.sort_array(F.collect_list(F.struct("rank", "abs_value"))), lambda x: x["abs_value"])
+    found = ranked.groupBy("state", "tract").agg(
+        F.count(F.lit(1)).alias("features"), F.sum("rank").alias("ranks"), F.sum("importance").alias("total"),
+        (sizes == F.reverse(F.sort_array(F.collect_list("abs_value")))).alias("in_order"))
+    predicted = scored.select(F.col("geo_id").alias("tract"), "predicted_label")
+    return found.join(predicted, "tract").select(
+        "state", "tract", "features", "ranks",
+        (F.abs(F.col("predicted_label") - F.col("total") - F.lit(base)) < 1e-9).alias("adds_up"), "in_order")

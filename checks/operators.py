@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression
 from pyspark.sql import functions as F
 
-from checks.registry import check, small_candidates
+from checks.registry import check
 from tractwise.functions import clamp_at_zero, round_int, safe_divide
 from tractwise.operators import attribution, columns, groups, joins, models
 from tractwise.operators.effects import fit_absorbed
+from tractwise.operators.tree_attribution import exact_attributions
 from tractwise import sources
 from tractwise.session import scratch_path
 
@@ -493,18 +494,20 @@ def _(t):
     return scored.withColumn("predicted_price", F.round("predicted_price", 3))
 
 
-@check("automl_fit")
+@check("automl_fit", """
+  select l_orderkey, l_linenumber, round(3.0 * l_quantity - 2.0 * l_discount + 100.0 * l_tax, 3) as predicted_label
+  from lineitem""")
 def _(t):
+    # All default candidates are searched; the label is a plane, which one of them can meet.
     # The search reads its table many times: store it in as many files as there are cores.
     cores = t.spark.sparkContext.defaultParallelism
     lines = t.stored(t.lineitem.select(
-        *LINE, "l_returnflag", "l_extendedprice", "l_quantity", "l_discount", "l_tax"
+        *LINE, "l_returnflag", "l_quantity", "l_discount", "l_tax",
+        F.expr("3.0D * l_quantity - 2.0D * l_discount + 100.0D * l_tax").alias("label"),
     ).repartition(cores))
     model = models.fit_best(
-        lines, label="l_extendedprice", numeric=["l_quantity", "l_discount", "l_tax"],
-        categorical=["l_returnflag"], candidates=small_candidates(),
-    )
-    return models.predict(lines, model).select(*LINE, "predicted_label")
+        lines, label="label", numeric=["l_quantity", "l_discount", "l_tax"], categorical=["l_returnflag"])
+    return models.predict(lines, model).select(*LINE, F.round("predicted_label", 3).alias("predicted_label"))
 
 
 SEARCH = ["l_quantity", "l_discount"]
@@ -590,7 +593,7 @@ def _(t):
     attributed = attribution.sampled_attributions(
         parts, models.fit_linear(parts, label="p_retailprice", numeric=features),
         baseline=attribution.training_baseline(parts, features), features=features,
-        keys=["part"], permutations=2,
+        keys=["part"],
     )
     return _rounded(attributed, ["part"], features)
 
@@ -609,11 +612,34 @@ def _(t):
     ])
     attributed = attribution.sampled_attributions(
         parts, model, baseline=attribution.training_baseline(parts, features),
-        features=features, keys=["part"], permutations=3,
+        features=features, keys=["part"],
     )
     return _rounded(attributed, ["part"], features)
 
 
+@check("attribution_exact", """
+  with base as (select avg(p_size) as ms, avg(p_partkey % 40) as mk from part),
+  both_ways as (
+    select p_partkey, case when p_size > 30 and p_partkey % 40 > 10 then 8 else 0 end as own,
+      case when p_size > 30 and mk > 10 then 8 else 0 end as by_size,
+      case when ms > 30 and p_partkey % 40 > 10 then 8 else 0 end as by_key,
+      case when ms > 30 and mk > 10 then 8 else 0 end as none
+    from part, base)
+  select p_partkey as part, ((by_size - none) + (own - by_key)) / 2.0::double as size,
+    ((by_key - none) + (own - by_size)) / 2.0::double as number
+  from both_ways""")
+def _(t):
+    features = ["size", "number"]
+    parts = t.part.selectExpr(
+        "p_partkey as part", "cast(p_size as double) as size", "cast(p_partkey % 40 as double) as number",
+        "case when p_size > 30 and p_partkey % 40 > 10 then 8D else 0D end as label")
+    model = models.fit_best(parts, label="label", numeric=features, candidates=[
+        DecisionTreeRegressor(maxDepth=3, maxBins=models.MAX_BINS)])
+    attributed = exact_attributions(
+        parts, model, baseline=attribution.training_baseline(parts, features), features=features, keys=["part"])
+    return _rounded(attributed, ["part"], features)
+
+
 ATTRIBUTION_TABLE = """select o_orderstatus as state_code, lpad(cast(o_orderkey as string), 9, '0') as tract,
     o_totalprice - 250000 as price, cast(o_custkey * 100 as double) as customer,
     cast(-3 * o_orderkey as double) as number from orders"""

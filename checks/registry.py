@@ -4,11 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from tractwise.operators.models import MAX_BINS
 from tractwise.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,15 +35,6 @@ class Tables:
         return self.spark.read.schema(df.schema).parquet(path)
 
 
-def small_candidates() -> list:
-    """A small budget for the model search: the default kinds, with fewer, shallower trees."""
-    return [
-        LinearRegression(),
-        RandomForestRegressor(numTrees=5, maxDepth=4, maxBins=MAX_BINS, seed=7),
-        GBTRegressor(maxIter=5, maxDepth=3, maxBins=MAX_BINS, seed=7),
-    ]
-
-
 def check(name: str, sql: str | None = None):
     """Register a function of ``Tables`` under ``name``, with its SQL if it has any."""
 

@@ -20,7 +20,7 @@ def built(spark, tmp_path_factory):
     main(["tables", "--source", "census", "--states", str(folder / "codes.csv"), "--buckets", "2"])
     job.build_models(spark, models, candidates=[LinearRegression(), DecisionTreeRegressor(maxDepth=2, maxBins=64)], train_ratio=0.6)
     main(["inputs", "--models", models])
-    job.build_importance(spark, models, run="1", permutations=2)
+    job.build_importance(spark, models, run="1", export=str(folder / "export"))
     return models
 
 
@@ -100,7 +100,10 @@ def test_reports(built, spark, capsys):
     scenario = job.scenario_report(spark, built)
     assert scenario.columns == ["high_school_including_ged", SHARE] and scenario.count() == 24
     assert job.scenario_report(spark, built, state="AK").count() == 6
+    stored = spark.table("staging.labor_scenarios")
+    assert stored.columns == ["state", "geo_id", "high_school_including_ged", SHARE] and stored.count() == 24
     main(["impact", "--models", built, "--state", "AK"])
+    assert {r.state for r in rows(spark, "staging.economic_impact")} == {"AK", "AL", "AR"}
     assert "02000000006" in capsys.readouterr().out
     with pytest.raises(SystemExit):
         main(["tables", "--source", "census"])
@@ -115,3 +118,15 @@ def test_importance_tables(built, spark):
     al = ranked.where("state = 'AL' and tract = '01000000002'").orderBy("rank").collect()
     sizes = [r.abs_value for r in al]
     assert sizes == sorted(sizes, reverse=True) and [r["rank"] for r in al] == list(range(1, 72))
+    stored = spark.table("prediction_1.predictions")
+    assert stored.columns[-2:] == ["predicted_label", "feature_importance"]
+    report = spark.table("prediction_1.importance_report")
+    assert set(report.columns) == {"state", "feature", "tract_1", "tract_2", "rank"} and report.count() == 4 * 71
+    by_tract = {(r.tract, r.feature): r.importance for r in ranked.collect()}
+    ak = report.where("state = 'AL'").orderBy("rank").collect()
+    assert [by_tract["01000000002", r.feature] for r in ak] == [r.tract_1 for r in ak]
+    assert [by_tract["01000000003", r.feature] for r in ak] == [r.tract_2 for r in ak]
+    assert [abs(r.tract_1) for r in ak] == sorted((abs(r.tract_1) for r in ak), reverse=True)
+    exported = f"{built.rsplit('/', 1)[0]}/export"
+    assert spark.read.option("header", True).csv(f"{exported}/importance_report").count() == 4 * 71
+    assert spark.read.option("header", True).csv(f"{exported}/feature_importance").count() == 6

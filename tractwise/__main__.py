@@ -29,7 +29,8 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--curated", default="curated")
     parser.add_argument("--buckets", type=int, help="store income changes in this many buckets")
     parser.add_argument("--state", help="restrict a report to one state")
-    parser.add_argument("--rows", type=int, default=20, help="rows of a report to show")
+    parser.add_argument("--rows", type=int, default=20, help="rows of a report to show; all are stored")
+    parser.add_argument("--export", help="folder for the importance tables as CSV")
     given = parser.parse_args(arguments)
     needed = ("source", "states") if given.step == "tables" else ("models",)
     for name in needed:
@@ -52,7 +53,8 @@ def main(arguments: list[str] | None = None) -> None:
             "models": job.build_models, "inputs": job.build_inputs,
             "importance": job.build_importance,
         }[given.step]
-        step(spark, given.models, stage=given.staging)
+        more = {"export": given.export} if given.step == "importance" else {}
+        step(spark, given.models, stage=given.staging, **more)
 
 
 if __name__ == "__main__":

@@ -6,8 +6,13 @@ model is a projection.
 
 from __future__ import annotations
 
+import math
+import time
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import (
@@ -18,7 +23,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tractwise.columns import GRADUATES, MEASURE, SHARE
 from tractwise.functions.arithmetic import hash_uniform, round_int, safe_divide
-from tractwise.session import shared_dir
+from tractwise.session import scratch_path, shared_dir
 
 PREDICTION = "predicted_label"
 VECTOR = "__features"
@@ -125,6 +130,76 @@ def default_candidates() -> list[Estimator]:
     ]
 
 
+#: What a candidate's fit takes longer for, and what a search gives it little of at first.
+RESOURCES = ("maxIter", "numTrees")
+
+
+@dataclass
+class Trial:
+    """One fit of a search: the candidate's place, its regressor, the share of its trees or rounds, and the outcome."""
+
+    candidate: int
+    kind: str
+    share: float
+    rmse: float
+    seconds: float
+
+
+def _with_share(regressor: Estimator, share: float) -> Estimator:
+    """The regressor with ``share`` of its trees or boosting rounds; a linear one needs none."""
+    for name in RESOURCES:
+        if share < 1 and regressor.hasParam(name) and not isinstance(regressor, LinearRegression):
+            param = regressor.getParam(name)
+            return regressor.copy({param: max(1, math.ceil(regressor.getOrDefault(param) * share))})
+    return regressor
+
+
+def search(
+    regressors: Sequence[Estimator], training: DataFrame, validation: DataFrame, *, prediction: str = PREDICTION,
+    shrink: int = 3, parallelism: int = 4, budget_seconds: float | None = None,
+) -> tuple[int, list[Trial]]:
+    """The place of the best regressor by validation RMSE, and all trials.
+
+    Up to ``shrink`` candidates are compared by whole fits. More are compared in rounds:
+    first with a part of their trees or boosting rounds, then the best of each ``shrink``
+    go on with ``shrink`` times as much, until the last ones are fitted whole. Rows are
+    never sampled. ``parallelism`` fits run at a time, as jobs of one session; after
+    ``budget_seconds`` no further fit begins, and the best of the latest round with a
+    result wins. Ties go to the first candidate.
+    """
+    evaluator = RegressionEvaluator(labelCol="__label", predictionCol=prediction, metricName="rmse")
+    began = time.monotonic()
+
+    def in_time() -> bool:
+        return budget_seconds is None or time.monotonic() - began < budget_seconds
+
+    def trial(place: int, share: float) -> Trial | None:
+        if not in_time() and (place, share) != first:
+            return None
+        start = time.monotonic()
+        model = _with_share(regressors[place], share).fit(training)
+        rmse = evaluator.evaluate(model.transform(validation))
+        return Trial(place, type(regressors[place]).__name__, share, rmse, time.monotonic() - start)
+
+    rounds = 0
+    while len(regressors) > shrink ** (rounds + 1):
+        rounds += 1
+    left, trials, best = list(range(len(regressors))), [], 0
+    for step in range(rounds, -1, -1):
+        share = float(shrink) ** -step
+        first = (left[0], share) if not trials else None  # one fit is made whatever the budget
+        with ThreadPoolExecutor(parallelism) as pool:
+            results = list(pool.map(inheritable_thread_target(training.sparkSession)(lambda p: trial(p, share)), left))
+        done = sorted((t for t in results if t is not None), key=lambda t: (t.rmse, t.candidate))
+        trials += done
+        if done:
+            best = done[0].candidate
+        if len(done) < len(left):
+            break
+        left = sorted(t.candidate for t in done[: math.ceil(len(left) / shrink)])
+    return best, trials
+
+
 def fit_best(
     df: DataFrame,
     *,
@@ -134,11 +209,16 @@ def fit_best(
     candidates: Sequence[Estimator] | None = None,
     prediction: str = PREDICTION,
     train_ratio: float = 0.8,
+    shrink: int = 3,
+    parallelism: int = 4,
+    budget_seconds: float | None = None,
+    trials: list[Trial] | None = None,
 ) -> PipelineModel:
     """The candidate with the least validation RMSE, fitted again on all rows.
 
-    The training budget is the number of candidates. Features are assembled once
-    and only (label, vector) is kept for them. Rows are split by a hash of their
+    The budget of the search is the list of candidates and ``budget_seconds``; see
+    ``search``, whose trials are added to ``trials``. Features are assembled once into
+    stored (label, vector) rows that all fits read. Rows are split by a hash of their
     values, so a recomputed partition splits the same way and copies of a row
     stay on one side. Boosted trees cut their lineage in the shared folder.
     """
@@ -149,10 +229,6 @@ def fit_best(
     index, indexed = _index_stages(categorical)
     assemble = VectorAssembler(inputCols=[*filled, *indexed], outputCol=VECTOR)
     prepared = Pipeline(stages=[*fill, *index, assemble]).fit(rows)
-    in_training = hash_uniform("__label", *features, seed=1) < train_ratio
-    assembled = prepared.transform(rows.withColumn("__training", in_training)).select(
-        "__label", VECTOR, "__training"
-    )
     regressors = [
         c.copy().setParams(featuresCol=VECTOR, labelCol="__label", predictionCol=prediction)
         for c in candidates or default_candidates()
@@ -162,18 +238,25 @@ def fit_best(
     for regressor in regressors:
         if regressor.hasParam("maxBins"):
             regressor.setParams(maxBins=max(bins, regressor.getMaxBins()))
-    best = regressors[0]
+    in_training = hash_uniform("__label", *features, seed=1) < train_ratio
+    assembled = prepared.transform(rows.withColumn("__training", in_training)).select(
+        "__label", VECTOR, "__training"
+    )
+    best = 0
     if len(regressors) > 1:
-        training, validation = assembled.where("__training"), assembled.where("not __training")
-        if training.isEmpty() or validation.isEmpty():
+        path = scratch_path(df.sparkSession, "vectors")
+        assembled.write.parquet(path)
+        # the schema keeps what the assembler wrote about categories
+        assembled = df.sparkSession.read.schema(assembled.schema).parquet(path)
+        sides = {r["__training"] for r in assembled.select("__training").distinct().collect()}
+        if len(sides) < 2:
             raise ValueError("too few rows to hold some back: give one candidate, or more rows")
-        evaluator = RegressionEvaluator(
-            labelCol="__label", predictionCol=prediction, metricName="rmse"
-        )
-        best = min(
-            regressors, key=lambda r: evaluator.evaluate(r.fit(training).transform(validation))
-        )
-    return PipelineModel(stages=[*prepared.stages, best.fit(assembled)])
+        best, made = search(
+            regressors, assembled.where("__training"), assembled.where("not __training"), prediction=prediction,
+            shrink=shrink, parallelism=parallelism, budget_seconds=budget_seconds)
+        if trials is not None:
+            trials += made
+    return PipelineModel(stages=[*prepared.stages, regressors[best].fit(assembled)])
 
 
 def predict(df: DataFrame, model: PipelineModel, *, prediction: str = PREDICTION) -> DataFrame:
@@ -235,11 +318,11 @@ def what_if(
 
 
 def score_scenarios(
-    df: DataFrame, model: PipelineModel, *, column: str = GRADUATES, output: str = SHARE
+    df: DataFrame, model: PipelineModel, *, column: str = GRADUATES, output: str = SHARE, keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Scenario value (whole number) and predicted share, ascending by the value."""
+    """Scenario value (whole number) and predicted share, ascending by the value; before them the columns to ``keep``."""
     return (
         predict(df, model)
-        .select(round_int(column).alias(column), F.col(PREDICTION).alias(output))
+        .select(*keep, round_int(column).alias(column), F.col(PREDICTION).alias(output))
         .orderBy(F.asc(column))
     )

@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tractwise.columns import LEAKS
+from tractwise.columns import GRADUATES, LEAKS, SHARE
 from tractwise.operators.models import load_model, save_model
 from tractwise.plans import importance, scenarios, staging
-from tractwise.sources.files import read_state_codes
+from tractwise.sources.files import export_csv, read_state_codes
 from tractwise.sources.tables import (
     ensure_schema, replace_table, replace_view, write_counted,
 )
@@ -105,10 +105,13 @@ def build_inputs(spark: SparkSession, models: str, *, stage: str = "staging") ->
 
 
 def build_importance(
-    spark: SparkSession, models: str, *, stage: str = "staging", run: str | None = None, **options: object
+    spark: SparkSession, models: str, *, stage: str = "staging", run: str | None = None, export: str | None = None,
+    **options: object,
 ) -> None:
-    """Score the top tracts with attributions into a schema of their own, then
-    store them per state, wide and ranked. Only this run's schema is read back."""
+    """Score the top tracts with attributions into a schema of their own, then store
+    them per state: wide, ranked per tract, and as the report with tracts as columns.
+    Only this run's schema is read back. ``export`` is a folder for the wide table and
+    the report as CSV."""
     run = run or datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S")
     ensure_schema(spark, f"{PREDICTIONS}{run}")
     predictions = importance.scored_predictions(
@@ -124,17 +127,30 @@ def build_importance(
         f"{found}.feature_importance", group="state_code",
     )
     replace_table(importance.ranked_importance(table), f"{found}.ranked_importance", group="state")
+    report = replace_table(importance.importance_report(table), f"{found}.importance_report", group="state")
+    if export:
+        export_csv(table, f"{export.rstrip('/')}/feature_importance")
+        export_csv(report, f"{export.rstrip('/')}/importance_report")
 
 
 def impact_report(
     spark: SparkSession, models: str, *, stage: str = "staging", state: str | None = None
 ) -> DataFrame:
+    """The what-if result of all states, stored as ``economic_impact``; of it all, or one state."""
     inputs = spark.table(f"{stage}.ml_input_econ_impact")
-    return scenarios.economic_impact(inputs, load_model(models, INCOME_MODEL), state=state)
+    stored = replace_table(
+        scenarios.economic_impact(inputs, load_model(models, INCOME_MODEL)), f"{stage}.economic_impact")
+    return stored.where(F.col("state") == state) if state else stored
 
 
 def scenario_report(
     spark: SparkSession, models: str, *, stage: str = "staging", state: str | None = None
 ) -> DataFrame:
+    """Graduates and predicted share of all tracts and steps, stored as ``labor_scenarios``; of it the two
+    columns in ascending order, for all or one state."""
     rows = spark.table(f"{stage}.ml_input_automl_scenarios")
-    return scenarios.scenario_report(rows, load_model(models, LABOR_MODEL), state=state)
+    stored = replace_table(
+        scenarios.scenario_report(rows, load_model(models, LABOR_MODEL), keep=("state", "geo_id")),
+        f"{stage}.labor_scenarios")
+    kept = stored.where(F.col("state") == state) if state else stored
+    return kept.select(GRADUATES, SHARE).orderBy(GRADUATES)

@@ -76,8 +76,8 @@ def economic_impact(
 
 
 def scenario_report(
-    scenarios: DataFrame, model: PipelineModel, *, state: str | None = None
+    scenarios: DataFrame, model: PipelineModel, *, state: str | None = None, keep: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Graduates and predicted share, ascending, optionally for one state."""
+    """Graduates and predicted share, ascending, optionally for one state or with columns to ``keep``."""
     rows = scenarios.where(F.col("state") == state) if state else scenarios
-    return score_scenarios(rows, model)
+    return score_scenarios(rows, model, keep=keep)
