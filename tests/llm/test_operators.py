@@ -104,7 +104,7 @@ def test_mixing_follows_targets_and_repeats(spark, docs):
     assert mixing.mix(docs).columns == docs.columns and mixing.mix_plan(empty(docs)).count() == 0
 
 
-def test_packing_round_trip(docs):
+def test_packing_round_trip(docs, monkeypatch):
     from tokenizers import Tokenizer
     import public_tokenizers
     import zlib

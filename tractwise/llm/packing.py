@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,67 +10,38 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tractwise.llm.tables import Stored
+from tractwise.llm.tokens import checksum, default_tokenizer, slices, vocabulary
+from tractwise.session import replicated_if_small
 
-#: Ids of text parts that a worker keeps; beyond it begins anew. A bound on memory only.
-CACHE = 400_000
-#: Rows of equal length are ranked in so many parts, so a frequent length takes no task of its own.
-SALTS = 64
+#: Pieces of equal length that one task ranks, or so: a frequent length is ranked in as many parts as that takes.
+RANKED = 50_000
 Pattern = tuple[int, ...]
 
 
-class Encoder:
-    """Token ids as little-endian bytes, parts of a text that begin with a single space apart.
-
-    No token of this vocabulary reaches over such a space, so parts are encoded alone and
-    remembered. Texts with two spaces in a row, or a special token's name, are encoded whole.
-    """
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
-
-    def whole(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        parted = [None if "  " in t or any(s in t for s in self.special) else t.split(" ") for t in texts]
-        known = self.known
-        if len(known) > CACHE:
-            known.clear()
-        new = {p for parts in parted if parts for p in parts[1:]}
-        new = [p for p in new if p not in known]
-        known.update(zip(new, self.whole([" " + p for p in new])))
-        heads = iter(self.whole([parts[0] for parts in parted if parts]))
-        others = iter(self.whole([t for t, parts in zip(texts, parted) if parts is None]))
-        return [next(others) if parts is None else next(heads) + b"".join([known[p] for p in parts[1:]])
-                for parts in parted]
-
-
 def _pieces(path: str, size: int, end: int, keep_ids: bool):
+    names = ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * keep_ids]
+
     def run(batches: Iterator[pa.RecordBatch]):
-        encoder = Encoder(path)
+        encode = vocabulary(path)
         for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
-                texts = [t or "" for t in part.column("text").to_pylist()]
-                rows = []
-                for doc, ids in zip(part.column("doc_id").to_pylist(), encoder(texts)):
-                    ids += np.array([end], "<u4").tobytes()
-                    n, begin, piece = len(ids) // 4, 0, 0
-                    while begin < n:
-                        length = (n % size or size) if piece == 0 else size
-                        own = ids[4 * begin: 4 * (begin + length)]
-                        rows.append((doc, piece, begin, length, zlib.crc32(own), own if keep_ids else None))
-                        begin, piece = begin + length, piece + 1
-                columns = list(zip(*rows))
-                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-                names = ("doc_id", "piece", "start", "length", "ids_crc32", "ids")
-                arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
-                yield pa.RecordBatch.from_arrays(arrays[: 5 + keep_ids], list(names[: 5 + keep_ids]))
+            for part in slices(batch, "text"):
+                ids, begin = encode(part.column("text"), end)
+                total = np.diff(begin)
+                count = -(-total // size)
+                doc = np.repeat(np.arange(len(total)), count)
+                piece = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                # the first piece of a text has what is over
+                over = (total - 1) % size + 1
+                start = np.where(piece > 0, over[doc] + (piece - 1) * size, 0)
+                length = np.where(piece > 0, size, over[doc])
+                first = begin[:-1][doc] + start
+                cut = [ids[a: a + n] for a, n in zip(first, length)]
+                columns = [
+                    part.column("doc_id").take(pa.array(doc)), pa.array(piece, pa.int32()), pa.array(start),
+                    pa.array(length), pa.array([checksum(x) for x in cut], pa.int64())]
+                if keep_ids:
+                    columns.append(pa.array([x.astype("<u4").tobytes() for x in cut], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names)
     return run
 
 
@@ -181,37 +151,42 @@ def _slots(packed: list[tuple[Pattern, int]]) -> pd.DataFrame:
 
 
 def packed(parts: DataFrame, size: int, stored: Stored) -> DataFrame:
-    """``parts`` (stored, with ``length``) with ``sequence_id`` and ``offset``.
+    """``parts`` (stored, with ``length`` and a number of their own, ``row``) with ``sequence_id`` and ``offset``.
 
-    Equal lengths are ranked in ``SALTS`` parts by hash and the parts' counts summed up
-    before; the driver sees one count per length and part, at most ``size`` * ``SALTS``.
+    Full pieces, most of a corpus of long texts, take a sequence of their own each and need
+    no rank. Others of equal length are ranked in parts by hash, as many as their number
+    asks for, after the counts of the parts before; the driver sees one count per length.
     """
-    salted = parts.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SALTS)).cast("int"))
-    counts = salted.groupBy("length", "salt").count().toPandas().sort_values(["length", "salt"])
+    spark, full = parts.sparkSession, F.col("length") == size
+    counts = parts.where(~full).groupBy("length").count().toPandas()
     histogram = np.bincount(counts.length, counts["count"], size + 1).astype(np.int64)
-    slots = _slots(plan(histogram, size))
-    counts["before"] = counts.groupby("length")["count"].cumsum() - counts["count"]
-    spark = parts.sparkSession
-    # both tables are bounded by the lengths: broadcast
-    before = spark.createDataFrame(
-        counts[["length", "salt", "before"]].astype("int64"), "length bigint, salt bigint, before bigint")
     table = {}
-    for row in slots.itertuples(index=False):
+    for row in _slots(plan(histogram, size)).itertuples(index=False):
         table.setdefault(row.length, []).append((int(row.low), int(row.high), int(row.first), int(row.offset)))
-    ranges = spark.createDataFrame(
-        [(int(k), sorted(v)) for k, v in table.items()],
-        "length bigint, ranges array<struct<low: bigint, high: bigint, first: bigint, offset: bigint>>")
-    order = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")
+    # bounded by the lengths: broadcast
+    ranges = F.broadcast(spark.createDataFrame(
+        [(int(k), -(-int(histogram[k]) // RANKED), sorted(v)) for k, v in table.items()],
+        "length bigint, salts int, ranges array<struct<low: bigint, high: bigint, first: bigint, offset: bigint>>"))
+    salted = parts.where(~full).join(ranges, "length").withColumn(
+        "salt", F.pmod(F.xxhash64("row"), F.col("salts")))
+    sums = salted.groupBy("length", "salt").count()
+    earlier = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
+    before = stored(sums.select(
+        F.col("length").alias("__length"), F.col("salt").alias("__salt"),
+        F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("before")))
+    order = Window.partitionBy("length", "salt").orderBy("row")
     ranked = (
         salted.withColumn("rank", F.row_number().over(order) - 1)
-        .join(F.broadcast(before), ["length", "salt"])
+        .join(replicated_if_small(before), (F.col("length") == F.col("__length")) & (F.col("salt") == F.col("__salt")))
         .withColumn("rank", F.col("rank") + F.col("before"))
-        .join(F.broadcast(ranges), "length")
     )
     own = F.get(F.filter("ranges", lambda r: (r["low"] <= F.col("rank")) & (F.col("rank") < r["high"])), F.lit(0))
-    return ranked.withColumn("own", own).withColumns({
-        "sequence_id": F.col("own.first") + F.col("rank") - F.col("own.low"), "offset": F.col("own.offset"),
-    }).drop("own", "ranges", "rank", "before", "salt")
+    placed = ranked.withColumn("own", own).select(
+        *parts.columns, (F.col("own.first") + F.col("rank") - F.col("own.low")).alias("sequence_id"),
+        F.col("own.offset").alias("offset"))
+    alone = parts.where(full).select(
+        "*", (-1 - F.col("row")).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
+    return alone.unionByName(placed)
 
 
 def pack(
@@ -226,13 +201,10 @@ def pack(
     repeat an id, or have none, are packed each for itself. An empty table gives an
     empty result.
     """
-    if tokenizer is None:
-        import public_tokenizers
-
-        tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     stored = Stored(docs.sparkSession)
     docs = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).alias("text"))
-    parts = stored(pieces(docs, tokenizer, size, end, keep_ids))
+    parts = pieces(docs, tokenizer or default_tokenizer(), size, end, keep_ids)
+    parts = stored(parts.withColumn("row", F.monotonically_increasing_id()))
     return packed(parts, size, stored).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", *["ids"] * keep_ids)
 
