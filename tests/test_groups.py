@@ -22,7 +22,7 @@ def ids(result):
 def test_argmax_keeps_every_tie_and_drops_null_groups(df, max_bytes, plan_of):
     result = argmax_rows(df, "g", "m", max_bytes=max_bytes)
     assert result.columns == df.columns
-    assert ("BroadcastHashJoin" in plan_of(result)) == (max_bytes > 0)
+    assert ("SortMergeJoin" in plan_of(result)) == (max_bytes == 0)
     assert ids(result) == [2, 3, 5]
 
 
@@ -37,6 +37,24 @@ def test_argmax_of_a_group_that_is_one_tie(spark):
         assert found.where("g <> 'hot'").count() == 50
 
 
+def test_a_giant_tie_is_dealt_over_tasks(spark):
+    rows = spark.range(60000).select(
+        F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 500)).alias("g"),
+        F.lit(1.0).alias("m"), F.lit("same").alias("text"))
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        found = argmax_rows(rows, "g", "m", max_bytes=0, rows_per_task=500)
+        assert found.columns == rows.columns
+        sizes = sorted(r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 60000 and len(sizes) == 8 and sizes[-1] <= 2 * sizes[4]
+
+
 def test_group_max_by_several_columns(spark):
     df = spark.createDataFrame([(1, 1, 2), (1, 1, 3), (1, 2, 1)], "a int, b int, m int")
     assert sorted(map(tuple, group_max(df, ["a", "b"], "m").collect())) == [(1, 1, 3), (1, 2, 1)]

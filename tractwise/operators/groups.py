@@ -6,7 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tractwise.session import REPLICATE_BYTES, checkpointed, replicated_if_small
+from tractwise.session import REPLICATE_BYTES, checkpointed, fits_in_tasks, replicated_if_small
 
 
 def _names(columns: str | Iterable[str]) -> list[str]:
@@ -23,26 +23,43 @@ def group_max(df: DataFrame, group: str | Iterable[str], measure: str) -> DataFr
 
 
 def argmax_rows(
-    df: DataFrame, group: str | Iterable[str], measure: str, *, max_bytes: int = REPLICATE_BYTES
+    df: DataFrame, group: str | Iterable[str], measure: str, *, max_bytes: int = REPLICATE_BYTES,
+    rows_per_task: int = 200_000,
 ) -> DataFrame:
     """All rows that hold their group's largest ``measure``, every tie included.
 
     The maxima are aggregated map-side, stored in the shared folder and measured.
     Small maxima are broadcast and the rows are filtered where they are read,
     so a group that is one big tie never meets in one task. Larger maxima are
-    joined by shuffle on (group, measure), a key that spreads a big group.
+    joined by shuffle on (group, measure, salt): the maximum of a group of many rows is
+    copied to one salt per ``rows_per_task`` of them, and its rows are dealt over the salts.
+    Which groups those are is few rows, at most one in ``rows_per_task``.
     """
     group = _names(group)
     keys = [f"__group{i}" for i in range(len(group))]
+    named = [F.col(g).alias(k) for g, k in zip(group, keys)]
     best = checkpointed(
-        group_max(df.select(*group, measure), group, measure)
-        .select(*[F.col(g).alias(k) for g, k in zip(group, keys)], F.col(measure).alias("__best"))
+        df.where(F.col(measure).isNotNull()).groupBy(*named)
+        .agg(F.max(measure).alias("__best"), F.ceil(F.count(F.lit(1)) / rows_per_task).cast("int").alias("__salts"))
     )
-    best = replicated_if_small(best, max_bytes)
-    match = F.col(measure) == F.col("__best")
-    for g, k in zip(group, keys):
-        match = match & (F.col(g) == F.col(k))
-    return df.join(best, match, "inner").drop("__best", *keys)
+
+    def match(suffix: str = ""):
+        same = F.lit(True)
+        for g, k in zip(group, keys):
+            same = same & (F.col(g) == F.col(k + suffix))
+        return same
+
+    top = F.col(measure) == F.col("__best")
+    if fits_in_tasks(best, max_bytes):
+        return df.join(F.broadcast(best), top & match(), "inner").drop("__best", "__salts", *keys)
+    large = best.where("__salts > 1").select(
+        *[F.col(k).alias(f"{k}_large") for k in keys], F.col("__salts").alias("__parts"))
+    # any deal will do: each salt has a copy of the maximum
+    dealt = df.join(replicated_if_small(large), match("_large"), "left").withColumn(
+        "__salt", F.pmod(F.monotonically_increasing_id(), F.coalesce("__parts", F.lit(1))))
+    copies = best.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.col("__salts") - 1)))
+    joined = dealt.join(copies.hint("merge"), top & match() & (F.col("__salt") == F.col("__copy")), "inner")
+    return joined.select(*df.columns)
 
 
 def top_k_rows(

@@ -19,11 +19,12 @@ from pyspark.ml.feature import (
     OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler, VectorSlicer,
 )
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tractwise.columns import GRADUATES, MEASURE, SHARE
 from tractwise.functions.arithmetic import hash_uniform, round_int, safe_divide
 from tractwise.session import scratch_path, shared_dir
+from tractwise.sources.versions import current_path, publish_folder
 
 PREDICTION = "predicted_label"
 VECTOR = "__features"
@@ -266,14 +267,13 @@ def predict(df: DataFrame, model: PipelineModel, *, prediction: str = PREDICTION
 
 
 def save_model(model: PipelineModel, root: str, name: str) -> str:
-    """Store a model under ``root/name``, replacing an earlier one."""
-    path = f"{root.rstrip('/')}/{name}"
-    model.write().overwrite().save(path)
-    return path
+    """Store a model under ``root/name``; an earlier one is there, whole, until the new one is."""
+    spark = SparkSession.getActiveSession()
+    return publish_folder(spark, f"{root.rstrip('/')}/{name}", lambda path: model.write().overwrite().save(path))
 
 
 def load_model(root: str, name: str) -> PipelineModel:
-    return PipelineModel.load(f"{root.rstrip('/')}/{name}")
+    return PipelineModel.load(current_path(SparkSession.getActiveSession(), f"{root.rstrip('/')}/{name}"))
 
 
 def baseline_prediction(

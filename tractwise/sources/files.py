@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
+from tractwise.sources.versions import current_path, publish_folder
+
 #: Codes have leading zeros, so they are declared and never inferred.
 STATE_CODES = T.StructType([
     T.StructField("state", T.StringType()),
@@ -36,12 +38,14 @@ def write_grouped(df: DataFrame, path: str, group: str) -> None:
     """One folder per group value, all groups in one job.
 
     The rebalance hint gathers a group's rows into few files, and lets AQE split
-    a group that outgrows a partition over several tasks.
+    a group that outgrows a partition over several tasks. What ``read_grouped`` read
+    before stays whole until all groups are written.
     """
-    df.hint("rebalance", group).write.mode("overwrite").partitionBy(group).parquet(path)
+    publish_folder(df.sparkSession, path, lambda version: (
+        df.hint("rebalance", group).write.partitionBy(group).parquet(version)))
 
 
 def read_grouped(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read what ``write_grouped`` wrote. ``schema`` is needed because types of
     folder values are otherwise guessed (``01`` would become a number)."""
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(current_path(spark, path))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from tractwise.sources.versions import current_table, publish_table
+
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
@@ -36,22 +38,24 @@ def latest_schema(spark: SparkSession, prefix: str) -> str:
 def replace_table(
     df: DataFrame, name: str, *, group: str | None = None, buckets: tuple[int, str] | None = None
 ) -> DataFrame:
-    """Write ``df`` as table ``name``, replacing it, and return the stored table.
+    """Write ``df`` as table ``name``, replacing it in one step, and return the stored table.
+    Readers see the old table or the new one, whole; see ``publish_table``.
 
     With ``group`` there is one folder per group value, written in one job (see
     ``write_grouped``). With ``buckets`` (number, key) rows are stored by hash of the
-    key: tables bucketed alike join on it without a shuffle. ``df`` must not read
-    ``name`` itself; Spark refuses that.
+    key: tables bucketed alike join on it without a shuffle. ``df`` may read ``name``.
     """
-    if group is not None:
-        writer = df.hint("rebalance", group).write.partitionBy(group)
-    elif buckets is not None:
-        count, key = buckets
-        writer = df.repartition(count, key).write.bucketBy(count, key).sortBy(key)
-    else:
-        writer = df.write
-    writer.mode("overwrite").saveAsTable(name)
-    return df.sparkSession.table(name)
+    def write(rows: DataFrame, version: str) -> None:
+        if group is not None:
+            writer = rows.hint("rebalance", group).write.partitionBy(group)
+        elif buckets is not None:
+            count, key = buckets
+            writer = rows.repartition(count, key).write.bucketBy(count, key).sortBy(key)
+        else:
+            writer = rows.write
+        writer.saveAsTable(version)
+
+    return publish_table(df, name, write)
 
 
 def replace_view(spark: SparkSession, name: str, text: str) -> DataFrame:
@@ -62,8 +66,8 @@ def replace_view(spark: SparkSession, name: str, text: str) -> DataFrame:
 
 def append_table(df: DataFrame, name: str) -> DataFrame:
     """Add the rows of ``df`` to table ``name``, creating it if needed. A second
-    run adds them again."""
-    df.write.mode("append").saveAsTable(name)
+    run adds them again; ``BatchTable`` takes each batch once."""
+    df.write.mode("append").saveAsTable(current_table(df.sparkSession, name))
     return df.sparkSession.table(name)
 
 
