@@ -1,190 +1,211 @@
-"""Line deduplication: smallest pairs of words, joins on two of them, edit similarity, one line kept per group."""
+"""Line deduplication: SimHash of normalised lines, joins on pigeonhole blocks, edit similarity, one line kept per group."""
 
 from __future__ import annotations
 
-import json
-from collections.abc import Callable
-from itertools import combinations
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tractwise.llm.graph import components
 from tractwise.llm.tables import Stored
 from tractwise.session import replicated_if_small
 
-#: A signature has 63 bits.
-BITS = 63
-#: Widths of the counters that share one sum, each for lines of fewer than 2^(width - 1) words.
-WIDTHS = (7, 21, 63)
-#: The first bit and the number of bits of each block; two blocks agree if three bits differ.
-BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 12), (51, 12))
-#: So many of a line's word pairs stand for it, and each two of them are a key. A changed word takes
-#: two pairs away and adds two, so lines that differ in two words still share the first two others.
-MINIMA = 6
-#: Word pairs that come last because they are common: those in so many lines of one document in
-#: ``SAMPLE``, at most ``COMMON`` of them, by a table of 64 * ``CELLS`` bits.
-SAMPLE, OFTEN, COMMON, CELLS = 16, 32, 4096, 4096
-LOW, HIGH = (1 << 63) - 1, -1 << 63
-
-
-def _majority(width: int) -> Column:
-    """Bit p is set where more than half of the ``n`` ``hashes`` have it, as long as ``n`` < 2^(width - 1).
-
-    Sum k counts the bits k, k + width, k + 2 * width and so on, each in ``width`` bits.
-    What a count lacks of a majority is filled up so that the highest of its bits tells.
-    """
-    ones = F.lit(sum(1 << start for start in range(0, BITS, width))).cast("bigint")
-    fill = (F.lit((1 << width - 1) - 1).cast("bigint") - F.shiftright("n", 1)) * ones
-
-    def bits(k: int) -> Column:
-        count = F.aggregate(
-            "hashes", F.lit(0).cast("bigint"),
-            lambda total, x: total + F.shiftrightunsigned(x, k).bitwiseAND(ones))
-        return F.shiftleft(F.shiftrightunsigned(count + fill, width - 1).bitwiseAND(ones), k)
-
-    return sum((bits(k) for k in range(1, width)), bits(0))
-
-
-def _signature() -> Column:
-    """The majority by the narrowest counters that hold ``n``: the same bits at every width."""
-    small, middle, large = (_majority(width) for width in WIDTHS)
-    return F.when(F.col("n") < 1 << WIDTHS[0] - 1, small).when(F.col("n") < 1 << WIDTHS[1] - 1, middle).otherwise(large)
-
-
-def _words(line: Column) -> Column:
-    """A line normalised to its words: lower case, parted by any number of spaces."""
-    return F.array_remove(F.split(F.lower(line), " "), "")
+#: A signature has this many blocks; a word counts in the block that the top bits of its hash name.
+BLOCKS = 8
+#: The bits of a block in a number: the first two of every four of its ``LONG`` lowest bits.
+LONG, PLACES = 56, 0x33333333333333
+#: Widths of the counters that share one sum, each for blocks of fewer than 2 ** width words.
+WIDTHS = (4, 8)
+#: Of a line's different words so many count in its signature, or half of that: those whose hashes have
+#: zeros in as many bits, from ``THINNED`` on, as it takes. A sketch of long lines; the edit similarity
+#: is that of the whole lines.
+COUNTED, THINNED = 32, 45
+#: A key is made of consecutive blocks that hold this many counted words together; in lines of fewer
+#: than ``FEW`` one word less, as a change leaves them little else.
+WORDS, FEW = 4, 12
+#: ASCII white space besides the space.
+SPACES = "\t\n\x0b\f\r"
+#: Two lines are compared if at most so many of the 224 bits of their signatures differ.
+NEAR_BITS = 64
+
+
+def _long(bits: int) -> Column:
+    return F.lit(bits).cast("bigint")
 
 
 def _once(df: DataFrame, keep: list[str], **columns: Column) -> DataFrame:
-    """``keep`` and the new columns, each computed once (as a generator's output) however often it is used."""
-    fields = F.struct(*[c.alias(name) for name, c in columns.items()])
-    return df.select(*keep, F.explode(F.array(fields)).alias("__new")).select(*keep, "__new.*")
-
+    """``keep`` and the new columns. The planner keeps a step of its own for what is costly and read more than
+    once afterwards, so such a column is computed once; one read inside a lambda must be read outside of it too."""
+    return df.select(*keep, *[c.alias(name) for name, c in columns.items()])
 
-def line_signatures(docs: DataFrame, min_words: int) -> DataFrame:
-    """``doc_id``, ``pos``, ``h1``, ``h2``, ``n``, ``sig`` of every line of ``min_words`` words or more.
 
-    A signature counts each different word once (``n`` of them): a separator in every
-    other place would else outvote all others.
+def _words(line: str) -> Column:
+    """A line normalised to its words: lower case, parted by any ASCII white space."""
+    other = F.lit(False)
+    for c in SPACES:
+        other = other | F.contains(F.col(line), F.lit(c))
+    plain = F.when(other, F.translate(line, SPACES, " " * len(SPACES))).otherwise(F.col(line))
+    return F.array_remove(F.split(F.lower(plain), " "), "")
 
-    ``h1`` and ``h2`` are one hash of 128 bits of the normalised line. All is computed
-    within the line, so nothing is shuffled.
-    """
-    hashed = _once(
-        _lines(docs, min_words), ["doc_id", "pos"], h1=F.xxhash64("w"), h2=F.xxhash64(F.lit(1), "w"),
-        hashes=F.transform(F.array_distinct("w"), lambda x: F.xxhash64(x)))
-    keys = ["doc_id", "pos", "h1", "h2"]
-    counted = hashed.select(*keys, F.size("hashes").cast("bigint").alias("n"), "hashes")
-    return counted.select(*keys, "n", _signature().alias("sig"))
 
+def _majority(hashes: Column, n: Column, width: int) -> Column:
+    """Bit p of ``PLACES`` is set where more than half of the ``n`` ``hashes`` have it, for ``n`` < 2 ** ``width``.
 
-def _lines(docs: DataFrame, min_words: int) -> DataFrame:
-    """``doc_id``, ``pos`` and the words ``w`` of every line of ``min_words`` words or more."""
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    return _once(lines, ["doc_id", "pos"], w=_words(F.col("line"))).where(F.size("w") >= min_words)
+    Each sum counts the bits at a distance of ``width`` at once, in counters of ``width``
+    bits. What a count lacks of a majority is filled up so that its highest bit tells.
+    """
+    ones = _long(sum(1 << at for at in range(0, LONG, width)))
+    fill = (F.lit((1 << width - 1) - 1).cast("bigint") - F.shiftright(n, 1)) * ones
+    out = F.lit(0).cast("bigint")
+    for k in range(width):
+        if PLACES >> k & 1:
+            count = F.aggregate(
+                hashes, F.lit(0).cast("bigint"), lambda total, x: total + F.shiftrightunsigned(x, k).bitwiseAND(ones))
+            most = F.shiftrightunsigned(count + fill, width - 1).bitwiseAND(ones)
+            out = out.bitwiseOR(F.shiftleft(most, k))
+    return out
 
 
-def _word_pairs() -> Column:
-    """Hashes of the different pairs of neighbours in ``w``; the last word makes one with the end."""
-    return F.array_distinct(F.transform("w", lambda x, i: F.xxhash64(x, F.get("w", i + 1))))
+def _block_count(b: int) -> Column:
+    return F.shiftrightunsigned("counts", 8 * b).bitwiseAND(F.lit(255))
 
 
-def common_pairs(docs: DataFrame, min_words: int) -> list[int]:
-    """A table of bits that tells common word pairs, from a sample of the documents.
+def signed(df: DataFrame, keep: list[str]) -> DataFrame:
+    """``df`` with the SimHash of its distinct word ``hashes``: ``bits`` of each block, and ``counts`` of their words, eight bits each.
 
-    It only decides which pairs stand for a line first: with a passage or phrase that
-    many lines hold, these would else meet in one bucket although the rest differs.
+    A block is a SimHash of its own, of the words that fall in it: each bit is what most
+    of their hashes have there. A word that changes touches the block it leaves and the
+    one it enters, so lines that differ in e words agree in all of at least
+    ``BLOCKS`` - 2 e blocks, where a SimHash over all words would differ a little everywhere.
+    """
+    n = F.size("hashes")
+    spare = F.greatest(F.ceil(F.log2(n / COUNTED)), F.lit(0)).cast("int")
+    mask = F.shiftleft(F.call_function("shiftleft", F.lit(1).cast("bigint"), spare) - 1, THINNED)
+    df = _once(df, [*keep, "hashes"], mask=F.when(n > COUNTED, mask).otherwise(0))
+    thin = F.filter("hashes", lambda h: h.bitwiseAND(F.col("mask")) == 0)
+    # sorted, the words of a block stand together; a count has eight bits
+    few = F.slice(F.sort_array(F.when(F.col("mask") == 0, F.col("hashes")).otherwise(thin)), 1, 255)
+    df = _once(df, keep, words=few)
+    # the top three bits of a hash name its block, eight bits each in the counts
+    counts = F.aggregate("words", F.lit(0).cast("bigint"), lambda total, h: total + F.call_function(
+        "shiftleft", F.lit(1).cast("bigint"), F.shiftrightunsigned(h, 58).bitwiseAND(F.lit(56)).cast("int")))
+    df = _once(df, [*keep, "words"], counts=counts)
+    blocks, before = {}, F.lit(0).cast("bigint")
+    for b in (*range(BLOCKS // 2, BLOCKS), *range(BLOCKS // 2)):  # negative hashes are sorted first
+        own = _block_count(b)
+        part = F.slice("words", (before + 1).cast("int"), own.cast("int"))
+        alone = F.get("words", before.cast("int")).bitwiseAND(_long(PLACES))
+        blocks[b] = (
+            F.when(own == 0, F.lit(0).cast("bigint")).when(own == 1, alone)
+            .when(own < 1 << WIDTHS[0], _majority(part, own, WIDTHS[0])).otherwise(_majority(part, own, WIDTHS[1])))
+        before = before + own
+    there = F.col("counts").isNotNull()
+    return _once(df, [*keep, "counts"], bits=F.when(there, F.array(*[blocks[b] for b in range(BLOCKS)])))
+
+
+def _packed(blocks: str) -> list[Column]:
+    """Two blocks in each of four numbers: the second one takes the places that the first leaves."""
+    return [F.get(blocks, F.lit(i)).bitwiseOR(F.shiftleft(F.get(blocks, F.lit(i + 1)), 2)).alias(f"s{i // 2}")
+            for i in range(0, BLOCKS, 2)]
+
+
+PACKED = [f"s{i}" for i in range(BLOCKS // 2)]
+
+
+KEYS = [f"k{b}" for b in range(BLOCKS)]
+
+
+def line_keys(groups: DataFrame, keep: list[str]) -> DataFrame:
+    """``keep`` and the keys ``k0`` to ``k7`` of a packed signature: from each block on, as many neighbours
+    as hold ``WORDS`` (or one less) together.
+
+    A key is shared by lines that agree in those blocks: of ``BLOCKS`` keys, a changed
+    word takes away those that have one of its two blocks.
     """
-    sample = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(SAMPLE)) == 0)
-    pairs = _lines(sample, min_words).select(F.explode(_word_pairs()).alias("pair"))
-    often = pairs.groupBy("pair").count().where(F.col("count") >= OFTEN).orderBy(F.desc("count"), "pair").limit(COMMON)
-    table = [0] * CELLS
-    for row in often.collect():
-        table[row.pair % CELLS] |= 1 << (row.pair >> 12) % 64
-    return [x - (x >> 63 << 64) for x in table]
+    signs = {f"b{2 * i + half}": F.shiftrightunsigned(c, 2 * half).bitwiseAND(_long(PLACES))
+             for i, c in enumerate(PACKED) for half in (0, 1)}
+    rows = _once(groups.where(F.col("counts").isNotNull()), keep, **signs, **{f"n{b}": _block_count(b) for b in range(BLOCKS)})
+    total = sum((F.col(f"n{b}") for b in range(BLOCKS)), F.lit(0).cast("bigint"))
+    rows = rows.withColumn("needed", F.when(total < FEW, WORDS - 1).otherwise(WORDS))
+    keys = []
+    for a in range(BLOCKS):
+        key = None
+        for k in range(1, BLOCKS - 1):
+            window = [(a + i) % BLOCKS for i in range(k)]
+            held = sum((F.col(f"n{b}") for b in window), F.lit(0).cast("bigint"))
+            of = F.xxhash64(F.lit(a), F.lit(k), *[F.col(f"b{b}") for b in window])
+            key = F.when(held >= F.col("needed"), of) if key is None else key.when(held >= F.col("needed"), of)
+        # too few words in so many blocks: the whole signature
+        keys.append(key.otherwise(F.xxhash64(F.lit(BLOCKS), *[F.col(f"b{b}") for b in range(BLOCKS)])))
+    return rows.select(*keep, *[key.alias(name) for key, name in zip(keys, KEYS)])
 
 
-def line_minima(docs: DataFrame, min_words: int, common: list[int]) -> DataFrame:
-    """``doc_id``, ``pos``, ``h1``, ``h2``, ``size``, ``least`` of every line of ``min_words`` words or more.
+def line_signatures(docs: DataFrame, min_words: int) -> DataFrame:
+    """``doc_id``, ``pos``, ``h1``, ``h2``, ``size``, ``s0`` to ``s3``, ``counts`` of every line that has a word.
 
-    ``least`` are the line's ``MINIMA`` smallest word pairs, in one order for all lines:
-    the others before the common ones, each by its hash. ``size`` is the length of the
-    normalised line, ``h1`` and ``h2`` one hash of 128 bits of it.
+    ``h1`` and ``h2`` are one hash of 128 bits of the normalised line and ``size`` its
+    length. ``s0`` to ``s3`` are the signature and ``counts`` the words of its blocks, eight
+    bits each; NULL for lines of fewer than ``min_words`` words. All is computed within the
+    line, so nothing is shuffled.
     """
+    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    # told by the line itself: a condition on its words would be pushed below them, and compute them twice
+    some = F.col("line").rlike(r"[^\x20\x09-\x0D]")
+    worded = _once(lines.where(some), ["doc_id", "pos"], w=_words("line"))
     keys = ["doc_id", "pos", "h1", "h2", "size"]
+    worded = _once(worded, ["doc_id", "pos"], every=F.transform("w", lambda w: F.xxhash64(w)),
+                   size=F.length(F.array_join("w", " ")))
     hashed = _once(
-        _lines(docs, min_words), ["doc_id", "pos"], h1=F.xxhash64("w"), h2=F.xxhash64(F.lit(1), "w"),
-        size=F.length(F.array_join("w", " ")), pairs=_word_pairs())
-    # one constant, as an array of literals would be one expression per cell
-    table = F.from_json(F.lit(json.dumps(common)), "array<bigint>")
-
-    def ranked(x: Column) -> Column:
-        cell = F.get(table, x.bitwiseAND(F.lit(CELLS - 1)).cast("int"))
-        bit = F.call_function("shiftrightunsigned", cell, F.shiftright(x, 12).bitwiseAND(F.lit(63)).cast("int"))
-        return F.when(bit.bitwiseAND(F.lit(1)) == 1, x.bitwiseAND(F.lit(LOW))).otherwise(x.bitwiseOR(F.lit(HIGH)))
-
-    return hashed.select(*keys, F.slice(F.sort_array(F.transform("pairs", ranked)), 1, MINIMA).alias("least"))
-
+        worded, ["doc_id", "pos", "size"], h1=F.xxhash64("every"), h2=F.xxhash64(F.lit(1), "every"),
+        hashes=F.when(F.size("every") >= min_words, F.array_distinct("every")))
+    return signed(hashed, keys).select(*keys, *_packed("bits"), "counts")
 
-def _least_keys() -> Column:
-    """The keys a line is found by: each two of its smallest word pairs, as one hash."""
-    both = [(F.get("least", F.lit(a)), F.get("least", F.lit(b))) for a, b in combinations(range(MINIMA), 2)]
-    return F.array_compact(F.array(*[F.when(b.isNotNull(), F.xxhash64(a, b)) for a, b in both]))
 
+def _with_signatures(pairs: DataFrame, groups: DataFrame, stored: Stored) -> DataFrame:
+    """``pairs`` (``u``, ``v``) with both lines' lengths and signatures: only lines of some pair are looked up."""
+    ends = pairs.select(F.col("u").alias("h1")).unionByName(pairs.select(F.col("v").alias("h1"))).distinct()
+    known = stored(groups.join(replicated_if_small(stored(ends)), "h1").select("h1", "size", *PACKED).dropDuplicates(["h1"]))
+    for end in ("u", "v"):
+        side = known.select(F.col("h1").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in ("size", *PACKED)])
+        pairs = pairs.join(replicated_if_small(side), end)
+    return pairs
 
-def _keys() -> Column:
-    """The keys a line's signature is found by: each pair of blocks, with the pair's number."""
-    def block(i: int) -> Column:
-        start, width = BLOCKS[i]
-        return F.shiftrightunsigned("sig", start).bitwiseAND(F.lit((1 << width) - 1))
 
-    return F.array(*[
-        F.shiftleft(F.lit(t).cast("bigint"), 26) + F.shiftleft(block(a), 13) + block(b)
-        for t, (a, b) in enumerate(combinations(range(len(BLOCKS)), 2))
-    ])
+def _near(similarity: float) -> Column:
+    """Whether lengths and signatures leave room for the edit similarity."""
+    longer = F.greatest("size_u", "size_v")
+    apart = F.abs(F.col("size_u") - F.col("size_v")) <= F.floor(longer * F.lit(1 - similarity) + F.lit(1e-9))
+    bits = sum((F.bit_count(F.col(f"{c}_u").bitwiseXOR(F.col(f"{c}_v"))) for c in PACKED), F.lit(0))
+    return apart & (bits <= NEAR_BITS)
 
 
-def buckets(groups: DataFrame, stored: Stored, mark: str = "sig", keys: Column | None = None) -> DataFrame:
-    """Lines (``h1``, ``mark``) that share a key: ``key``, ``u``, ``su`` (the mark) and the key's smallest line, ``leader``.
+def buckets(groups: DataFrame, stored: Stored) -> tuple[DataFrame, DataFrame]:
+    """Pairs of lines (``u``, ``v``) that share a key, each line with the key's smallest; and the lines of
+    keys with more than two (``key``, ``u``).
 
-    Without ``keys``, those of SimHashes: three differing bits touch at most three of the five blocks, so of two lines that
-    differ in no more, two blocks agree: each of the ten pairs of blocks gives a key of
-    25 or 26 bits.
+    One count per key tells both lines of most keys; only for the others the lines are
+    looked up once more.
     """
-    rows = groups.select(F.col("h1").alias("u"), F.explode(_keys() if keys is None else keys).alias("key"))
-    shared = stored(
-        rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("u").alias("leader"))
-        .where("n > 1").select("key", "leader"))
-    sig = groups.select(F.col("h1").alias("u"), F.col(mark).alias("su"))
-    return stored(rows.join(replicated_if_small(shared), "key").join(sig, "u"))
-
-
-def _near(a: str, b: str) -> Column:
-    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= 3
+    rows = line_keys(groups, ["h1"]).select(F.col("h1").alias("u"), F.explode(F.array(*KEYS)).alias("key"))
+    shared = stored(rows.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.min("u").alias("low"), F.max("u").alias("high")).where("n > 1"))
+    many = shared.where("n > 2").select(F.col("key").alias("__key"), "low")
+    members = stored(rows.join(replicated_if_small(many), F.col("key") == F.col("__key")).select("key", "u", "low"))
+    pairs = shared.where("n = 2 and low != high").select(F.col("low").alias("u"), F.col("high").alias("v")).unionByName(
+        members.where("u != low").select(F.col("low").alias("u"), F.col("u").alias("v")))
+    return stored(pairs.distinct()), members.select("key", "u")
 
 
-def _near_sizes(similarity: float) -> Callable[[str, str], Column]:
-    """Whether two lengths leave room for the edit similarity."""
-    def near(a: str, b: str) -> Column:
-        return F.abs(F.col(a) - F.col(b)) <= F.floor(F.greatest(a, b) * F.lit(1 - similarity) + F.lit(1e-9))
-    return near
+def other_pairs(members: DataFrame, linked: DataFrame, groups: DataFrame, similarity: float, stored: Stored) -> DataFrame:
+    """Near pairs of lines that share a key and that ``linked`` components do not yet connect."""
+    lines = members.select("u").distinct().join(replicated_if_small(linked), F.col("u") == F.col("node"), "left").select(
+        F.col("u").alias("h1"), F.coalesce("component", "u").alias("component"))
+    known = stored(groups.select("h1", "size", *PACKED).join(replicated_if_small(stored(lines)), "h1").dropDuplicates(["h1"]))
 
+    def side(end: str) -> DataFrame:
+        own = known.select(F.col("h1").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in ("component", "size", *PACKED)])
+        return members.select(F.col("key").alias(f"key_{end}"), F.col("u").alias(end)).join(replicated_if_small(own), end)
 
-def leader_pairs(found: DataFrame, near: Callable[[str, str], Column] = _near) -> DataFrame:
-    """Each line of a bucket with the bucket's leader, if their marks are near: at most one row a key."""
-    leaders = found.where("u = leader").select("leader", F.col("su").alias("sv")).distinct()
-    return found.where("u != leader").join(leaders, "leader").where(near("su", "sv")).select(
-        F.col("leader").alias("u"), F.col("u").alias("v")).distinct()
-
-
-def other_pairs(found: DataFrame, linked: DataFrame, near: Callable[[str, str], Column] = _near) -> DataFrame:
-    """Pairs of a bucket with near marks that ``linked`` components do not yet connect."""
-    labelled = found.join(linked.select(F.col("node").alias("u"), "component"), "u", "left").select(
-        "key", "u", "su", F.coalesce("component", "u").alias("cu"))
-    other = labelled.toDF("key", "v", "sv", "cv")
-    apart = (F.col("u") < F.col("v")) & (F.col("cu") != F.col("cv"))
-    return labelled.join(other, "key").where(apart & near("su", "sv")).select("u", "v").distinct()
+    apart = (F.col("u") < F.col("v")) & (F.col("component_u") != F.col("component_v")) & (F.col("key_u") == F.col("key_v"))
+    return side("u").join(side("v"), apart & _near(similarity)).select("u", "v").distinct()
 
 
 def _without_common_ends(pairs: DataFrame, keep: list[str]) -> DataFrame:
@@ -221,7 +242,8 @@ def similar_lines(pairs: DataFrame, docs: DataFrame, groups: DataFrame, similari
         "h1", F.col("first.doc_id").alias("doc_id"), F.col("first.pos").alias("pos"))
     texts = stored(
         docs.join(replicated_if_small(stored(places)), "doc_id")
-        .select("h1", F.array_join(_words(F.get(F.split("text", "\n"), F.col("pos"))), " ").alias("line"))
+        .select("h1", F.get(F.split("text", "\n"), F.col("pos")).alias("line"))
+        .select("h1", F.array_join(_words("line"), " ").alias("line"))
         .dropDuplicates(["h1"]))
     longer = F.greatest(F.length("lu"), F.length("lv"))
     allowed = F.floor(longer * F.lit(1 - similarity) + F.lit(1e-9)).cast("int")
@@ -243,35 +265,36 @@ def duplicate_lines(
     """The lines to drop: ``doc_id``, ``pos`` (from 0) and ``keeper_doc``, ``keeper_pos``.
 
     Lines are the parts of the text between line feeds. Those whose normalised words
-    agree are one group, whatever their number; groups are linked if the edit similarity
-    of their normalised lines, ``1 - distance / longer length``, reaches ``similarity``.
-    Compared are those that share two of their ``MINIMA`` smallest word pairs, as all do
-    that differ in one or two words and have two word pairs in common. Of each connected
-    group the line with the smallest id, then place, stays. Lines of fewer than
-    ``min_words`` words, NULL and empty texts and rows without an id take no part.
-    Repeated rows are one document; an empty table gives an empty result.
+    agree are one group, whatever their number and length; groups of ``min_words`` words or
+    more are linked if the edit similarity of their normalised lines, ``1 - distance /
+    longer length``, reaches ``similarity``. Compared are those that share a key of their
+    SimHashes (see ``signed``) and differ in at most ``NEAR_BITS`` bits of them. Of each
+    connected group the line with the smallest id, then place, stays. Lines without a
+    word, NULL and empty texts and rows without an id take no part; lines of any length
+    are compared whole. Repeated rows are one document; an empty table gives an empty
+    result. Only the two columns are read, so others may have any name.
     """
     stored = stored or Stored(docs.sparkSession)
     docs = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text")).where(
         F.col("doc_id").isNotNull())
-    lines = stored(line_minima(docs, min_words, common_pairs(docs, min_words)))
+    lines = stored(line_signatures(docs, min_words))
     first = F.min(F.struct("doc_id", "pos")).alias("first")
     groups = stored(lines.groupBy("h1", "h2").agg(
-        F.count(F.lit(1)).alias("n"), first, F.any_value("size").alias("size"), F.any_value("least").alias("least")))
-    found, near = buckets(groups, stored, "size", _least_keys()), _near_sizes(similarity)
+        F.count(F.lit(1)).alias("n"), first, *[F.any_value(c).alias(c) for c in ("size", *PACKED, "counts")]))
+    pairs, members = buckets(groups, stored)
+    near = _with_signatures(pairs, groups, stored).where(_near(similarity)).select("u", "v")
     # what the leaders connect needs no more comparing, so a bucket of copies stays cheap
-    links = similar_lines(leader_pairs(found, near), docs, groups, similarity, stored)
-    rest = other_pairs(found, components(links, stored), near)
+    links = similar_lines(near, docs, groups, similarity, stored)
+    rest = other_pairs(members, components(links, stored), groups, similarity, stored)
     linked = components(links.unionByName(similar_lines(rest, docs, groups, similarity, stored)), stored)
     # a group found alone keeps its own first line; a component keeps the first of its groups
-    united = groups.join(linked, groups["h1"] == linked["node"], "left").select(
-        "h1", "h2", "n", "first", "component")
-    best = united.where("component is not null").groupBy("component").agg(F.min("first").alias("best"))
-    keepers = (
-        united.where("n > 1 or component is not null").join(best, "component", "left")
-        .select("h1", "h2", F.coalesce("best", "first").alias("keep"))
-    )
-    drops = lines.join(keepers, ["h1", "h2"]).where(
+    united = stored(groups.join(replicated_if_small(linked), groups["h1"] == linked["node"], "left").where(
+        "n > 1 or component is not null").select("h1", "h2", "first", "component"))
+    # broadcast where few: by a shuffle, the lines of a large component would meet in one task
+    best = replicated_if_small(stored(united.where("component is not null").groupBy("component").agg(
+        F.min("first").alias("best"))))
+    keepers = stored(united.join(best, "component", "left").select("h1", "h2", F.coalesce("best", "first").alias("keep")))
+    drops = lines.select("doc_id", "pos", "h1", "h2").join(replicated_if_small(keepers), ["h1", "h2"]).where(
         ~((F.col("doc_id") == F.col("keep.doc_id")) & (F.col("pos") == F.col("keep.pos"))))
     return drops.select("doc_id", "pos", F.col("keep.doc_id").alias("keeper_doc"), F.col("keep.pos").alias("keeper_pos"))
 
@@ -281,8 +304,8 @@ def dedup_lines(
 ) -> DataFrame:
     """``docs`` with the lines that ``duplicate_lines`` finds taken out of the text.
 
-    Adds ``dropped_lines``, the places of those lines, NULL where there are none. Other
-    lines, their order and all other columns stay; a document of which no line is left
+    Adds ``dropped_lines``, the places of those lines, NULL where there are none, in place of
+    an own column of that name. Other lines, their order and all other columns stay; a document of which no line is left
     has an empty text.
     """
     stored = Stored(docs.sparkSession)
