@@ -185,9 +185,11 @@ def test_top_k_against_brute_force(spark):
     rng = np.random.default_rng(0)
     rows = [(i, [float(x) for x in rng.integers(-3, 4, 4) / 8], "r") for i in range(300)]
     rows += [(400 + i, [0.25, 0.25, 0.0, 0.0], "same") for i in range(50)] + [(500, [0.0] * 4, "zero")]
+    rows += [(650, [], "empty"), (651, [0.5], "short")]
     rows += [(600, None, "n"), (601, [None, 1.0], "n"), (602, [float("nan")] * 4, "n"), (None, [1.0] * 4, "n")]
     vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, rank string")
     ints = {i: np.floor(256 * np.array(v)).astype(int) for i, v, _ in rows if i is not None and i < 600}
+    ints |= {650: np.zeros(4, int), 651: np.array([128, 0, 0, 0])}
     got = sorted(topk.top_k(vectors).collect(), key=lambda r: (r.query_id, r["rank"]))
     want = []
     for q in sorted(i for i in ints if i % 50 == 0):

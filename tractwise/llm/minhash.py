@@ -266,10 +266,9 @@ def near_duplicates(
     found = components(links, stored)
     label = found.select(F.col("node").alias("class_id"), "component")
     return members.join(label, "class_id", "left").select(
-        F.col("doc_id").alias(id_column), F.col("n").alias("n_shingles"), "class_id",
+        F.col("doc_id").alias(id_column), F.col("n").alias("n_shingles"),
         F.coalesce("component", "class_id", "doc_id").alias("component_id"),
-        (F.coalesce("component", "class_id", "doc_id") == F.col("doc_id")).alias("kept"),
-    ).withColumn("kept", F.coalesce("kept", F.lit(True)))
+        F.coalesce(F.coalesce("component", "class_id", "doc_id") == F.col("doc_id"), F.lit(True)).alias("kept"), "class_id")
 
 
 def dedup_documents(docs: DataFrame, *, id_column: str = "doc_id", **options) -> DataFrame:

@@ -225,4 +225,4 @@ def quality_rules(
     rest = stats.where("base_failed").withColumns(
         {"distance": F.lit(None).cast("double"), "outlier": F.lit(True)})
     return judged.unionByName(rest).select(
-        F.col("doc_id").alias(id_column), *COUNTS, "base_failed", "distance", (~F.col("outlier")).alias("kept"))
+        F.col("doc_id").alias(id_column), *COUNTS, "base_failed", (~F.col("outlier")).alias("kept"), "distance")

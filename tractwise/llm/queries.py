@@ -137,7 +137,7 @@ def op8_perspective_rotation(table):
 @query(r"""
 with v as (
   select vec_id, min(list_transform(embedding, lambda x: floor(x::double * 256)::bigint)) as ints from embeddings
-  where vec_id is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+  where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
   group by vec_id),
 s as (
   select q.vec_id as query_id, c.vec_id, list_inner_product(q.ints::double[], c.ints::double[])::bigint as score

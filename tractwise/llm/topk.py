@@ -90,9 +90,9 @@ def top_k(
     """For each row whose id is divisible by ``every`` its ``k`` best others, exactly.
 
     Returns ``query_id``, ``rank`` from 1, ``vec_id``, ``score``: the inner product of
-    the components ``floor(scale * x)``, ties to the smaller id. Rows with a NULL or
-    empty vector or id, or a component that is NULL or not finite, take no part; shorter
-    vectors count as filled up with zeros; rows that repeat an id count once (the
+    the components ``floor(scale * x)``, ties to the smaller id. Rows with a NULL
+    vector or id, or a component that is NULL or not finite, take no part; shorter
+    vectors, also empty ones, count as filled up with zeros; rows that repeat an id count once (the
     smaller vector). A table of fewer rows gives what there is.
 
     Equal vectors tie everywhere, so of each different vector only the ``k + 1``
@@ -108,7 +108,7 @@ def top_k(
                      & (F.abs(c.cast("double")) < F.lit(float("inf"))))
     rows = stored(
         vectors.select(F.col(id_column).cast("bigint").alias("vec_id"), F.col(vector_column).alias("v"))
-        .where(F.col("vec_id").isNotNull() & (F.size("v") > 0)).where(sound)
+        .where(F.col("vec_id").isNotNull() & F.col("v").isNotNull()).where(sound)
         .groupBy("vec_id").agg(F.min(ints).alias("ints")))
     same = Window.partitionBy("ints").orderBy("vec_id")
     # an own row may be among the smallest ids of its vector, hence one more
