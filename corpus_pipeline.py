@@ -13,15 +13,29 @@ NEAR = 80
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no quality rule rejects."""
-    verdicts = quality.quality_rules(docs)
-    gone = Stored(spark)(verdicts.where("not kept").select(F.col("doc_id").alias("__id")).distinct())
-    # a verdict is found by its id: a row without one stays
-    return docs.join(replicated_if_small(gone), F.col("doc_id") == F.col("__id"), "left_anti")
+    """Documents that no quality rule rejects, with all their columns.
+
+    A verdict belongs to an id and a text: of rows that share an id each has its own, and
+    rows without an id are judged too. NULL and empty texts have no words and go, as texts
+    of fewer than 50 words do; long ones are judged whole. Repeated rows stay or go
+    together. An empty table stays empty.
+    """
+    shown = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.lit(":"), F.coalesce("text", F.lit("")))
+    keyed = docs.select("text", "lang", "source", F.md5(shown).alias("__key"))
+    verdicts = quality.quality_rules(keyed, id_column="__key")
+    gone = Stored(spark)(verdicts.where("not kept").select("__key").distinct())
+    return docs.join(replicated_if_small(gone), F.md5(shown) == F.col("__key"), "left_anti")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines kept elsewhere; those left without a line go."""
+    """Documents without lines kept elsewhere; those left without a line go.
+
+    Of equal or similar lines the one of the smallest id, then place, stays; see
+    ``lines.duplicate_lines``. ``n_chars`` of a changed text is counted anew, other columns
+    stay. Rows without an id stay as they are; repeated rows are one document and are
+    changed alike. NULL and empty texts had no line to lose and stay, lines of any length
+    are compared whole, and an empty table stays empty.
+    """
     cleaned = lines.dedup_lines(docs)
     some = F.col("dropped_lines").isNull() | F.col("text").rlike(quality.WORD)
     text = F.col("text")
@@ -31,17 +45,31 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near duplicates."""
+    """The first document, by id, of each group of near duplicates (``NEAR`` % of their five-word shingles).
+
+    All rows of the id that stays, stay; rows without an id are near nothing and stay, as
+    do NULL and empty texts. Texts of any length are compared whole, and an empty table
+    stays empty.
+    """
     return minhash.dedup_documents(docs, percent=NEAR)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as their source's target asks for."""
+    """Documents as often as their source's target asks for: floor(rate) times, once more by a hash of the id.
+
+    A NULL source is a source like others. Rows that share an id, or have none, draw alike.
+    NULL and empty texts have no size and are taken at their source's rate; the size of
+    long ones is that of the whole text. An empty table stays empty.
+    """
     return mixing.mix(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents, placed in sequences of 2048 tokens."""
+    """Pieces of the documents, placed in sequences of 2048 tokens; see ``packing.pack``.
+
+    Every row is packed, also those that repeat an id or have none; NULL and empty texts are
+    the closing id alone, long ones are cut in whole sequences. An empty table gives none.
+    """
     return packing.pack(docs)
 
 
@@ -52,7 +80,8 @@ STAGES = [
     ("mixing", mix_sources),
     ("packing", pack_sequences),
 ]
-#: Sketches, robust estimates and a tokenizer are beyond SQL; tests hold the stages against brute force.
+#: Sketches, robust estimates and a tokenizer are beyond SQL; tests/llm/test_pipeline.py holds the stages
+#: against plain Python.
 ORACLE_SQL = None
 
 
