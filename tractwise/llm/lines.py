@@ -37,6 +37,12 @@ def _once(df: DataFrame, keep: list[str], **columns: Column) -> DataFrame:
     return df.select(*keep, *[c.alias(name) for name, c in columns.items()])
 
 
+def _step(df: DataFrame, keep: list[str], **columns: Column) -> DataFrame:
+    """Like ``_once``, as the output of a generator, through which no condition is pushed down."""
+    fields = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.select(*keep, F.explode(F.array(fields)).alias("__new")).select(*keep, "__new.*")
+
+
 def _words(line: str) -> Column:
     """A line normalised to its words: lower case, parted by any ASCII white space."""
     other = F.lit(False)
@@ -224,11 +230,11 @@ def _without_common_ends(pairs: DataFrame, keep: list[str]) -> DataFrame:
     def joined(words: str) -> Column:
         return F.when(F.size(words) > 0, F.concat(F.array_join(words, " "), F.lit(" "))).otherwise("")
 
-    now = _once(pairs, keep, a=F.split("lu", " "), b=F.split("lv", " "))
+    now = _step(pairs, keep, a=F.split("lu", " "), b=F.split("lv", " "))
     for _ in range(2):  # from the begin, then from the end: reversed twice, the words stand in order
-        now = _once(now, [*keep, "a", "b"], at=differs)
-        now = _once(now, keep, a=F.reverse(rest("a")), b=F.reverse(rest("b")))
-    return _once(now, keep, lu=joined("a"), lv=joined("b"))
+        now = _step(now, [*keep, "a", "b"], at=differs)
+        now = _step(now, keep, a=F.reverse(rest("a")), b=F.reverse(rest("b")))
+    return _step(now, keep, lu=joined("a"), lv=joined("b"))
 
 
 def similar_lines(pairs: DataFrame, docs: DataFrame, groups: DataFrame, similarity: float, stored: Stored) -> DataFrame:
@@ -254,7 +260,10 @@ def similar_lines(pairs: DataFrame, docs: DataFrame, groups: DataFrame, similari
         .where(apart <= allowed).withColumn("allowed", allowed))
     # the distance takes time in proportion to length times limit, so only what differs is compared
     cut = _without_common_ends(both, ["u", "v", "allowed"])
-    close = (longer <= F.col("allowed")) | (F.call_function("levenshtein", "lu", "lv", F.col("allowed")) >= 0)
+    close = longer <= F.col("allowed")
+    for limit in (16, 64):  # most similar lines are found within few edits; only the others take the whole limit
+        close = close | (F.call_function("levenshtein", "lu", "lv", F.least("allowed", F.lit(limit))) >= 0)
+    close = close | ((F.col("allowed") > 64) & (F.call_function("levenshtein", "lu", "lv", F.col("allowed")) >= 0))
     return stored(cut.where(close).select("u", "v"))
 
 
