@@ -245,8 +245,9 @@ def test_common_ends_do_not_change_the_edit_distance(spark):
     pairs = [("x y z", "x z"), ("", "a b"), ("a a b", "a b"), ("ab c", "b c"), ("a b", "a b"), ("é a", "a é"),
              ("a b a b", "a b"), ("cc ab cc", "ab"), ("a", "b")]
     df = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "u int, lu string, lv string")
-    cut = lines._without_common_ends(df, ["u"]).toDF("u", "cu", "cv")
-    wrong = df.join(cut, "u").where(F.levenshtein("lu", "lv") != F.levenshtein("cu", "cv"))
+    cut = lines._without_common_ends(df, ["u"]).toDF("u", "cu", "cv", "by_words")
+    wrong = df.join(cut, "u").where((F.levenshtein("lu", "lv") != F.levenshtein("cu", "cv")) | (F.col("by_words") < F.levenshtein("lu", "lv")))
+    assert {r.u: r.by_words for r in cut.collect() if r.u in (0, 3, 5, 8)} == {0: None, 3: 1, 5: 2, 8: 1}
     assert cut.count() == len(pairs) and wrong.count() == 0
 
 

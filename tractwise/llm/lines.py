@@ -215,7 +215,8 @@ def other_pairs(members: DataFrame, linked: DataFrame, groups: DataFrame, simila
 
 
 def _without_common_ends(pairs: DataFrame, keep: list[str]) -> DataFrame:
-    """``lu`` and ``lv`` without the words both begin with and those both end with.
+    """``lu`` and ``lv`` without the words both begin with and those both end with, and ``by_words``, what it takes to
+    edit word by word (NULL where their numbers differ).
 
     What is left has the edit distance of the whole lines: each word keeps the space
     after it, and no best alignment changes a common begin or end.
@@ -234,7 +235,10 @@ def _without_common_ends(pairs: DataFrame, keep: list[str]) -> DataFrame:
     for _ in range(2):  # from the begin, then from the end: reversed twice, the words stand in order
         now = _step(now, [*keep, "a", "b"], at=differs)
         now = _step(now, keep, a=F.reverse(rest("a")), b=F.reverse(rest("b")))
-    return _step(now, keep, lu=joined("a"), lv=joined("b"))
+    # word by word, a way of editing: the distance is at most that, and mostly it is
+    changes = F.aggregate(
+        F.zip_with("a", "b", lambda x, y: F.when(x == y, 0).otherwise(F.levenshtein(x, y))), F.lit(0), lambda total, n: total + n)
+    return _step(now, keep, lu=joined("a"), lv=joined("b"), by_words=F.when(F.size("a") == F.size("b"), changes))
 
 
 def similar_lines(pairs: DataFrame, docs: DataFrame, groups: DataFrame, similarity: float, stored: Stored) -> DataFrame:
@@ -260,7 +264,7 @@ def similar_lines(pairs: DataFrame, docs: DataFrame, groups: DataFrame, similari
         .where(apart <= allowed).withColumn("allowed", allowed))
     # the distance takes time in proportion to length times limit, so only what differs is compared
     cut = _without_common_ends(both, ["u", "v", "allowed"])
-    close = longer <= F.col("allowed")
+    close = (longer <= F.col("allowed")) | (F.coalesce("by_words", F.col("allowed") + 1) <= F.col("allowed"))
     for limit in (16, 64):  # most similar lines are found within few edits; only the others take the whole limit
         close = close | (F.call_function("levenshtein", "lu", "lv", F.least("allowed", F.lit(limit))) >= 0)
     close = close | ((F.col("allowed") > 64) & (F.call_function("levenshtein", "lu", "lv", F.col("allowed")) >= 0))
