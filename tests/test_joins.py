@@ -57,6 +57,15 @@ def test_cast_key_join_matches_text_and_fans_out(spark):
     assert rows(joined) == [(1, "a", "x"), (1, "a", "y")]
 
 
+def test_cast_key_join_broadcasts_no_side_by_a_guess(spark, plan_of):
+    # by its one row's guess the generated side is small, whatever the number of rows it makes
+    left = spark.range(3).selectExpr("id as k", "id * 2 as v")
+    right = spark.range(1).selectExpr("explode(sequence(0, 2)) as key").selectExpr("key", "cast(key as string) as w")
+    joined = cast_key_join(left, right, left_key="k", right_key="key", keep=["w"])
+    assert "Broadcast" not in plan_of(joined)
+    assert rows(joined) == [(0, 0, "0"), (1, 2, "1"), (2, 4, "2")]
+
+
 def test_cross_dimension_both_ways(spark, plan_of):
     df = spark.createDataFrame([(i % 3, str(i)) for i in range(50)] + [(0, "0")] * 20, "k int, v string")
     dim = spark.createDataFrame([("a", 0.5), ("b", None), ("b", None)], "label string, rate double")

@@ -1,9 +1,10 @@
 """Joins.
 
-Joins on area ids carry no hint: Spark broadcasts a side whose size it knows to be
-below ``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles both, with
-AQE splitting skewed partitions. Joins on a key of few values broadcast the small
-side once it has been measured.
+Joins on area ids shuffle both sides, with AQE splitting skewed partitions. Those that
+add columns say so by a hint: of a side with generated rows, outlines or outputs of a
+Python function Spark knows no size, only a guess from its files, and by that guess
+would bring it whole to the driver to broadcast it. Joins on a key of few values broadcast the
+small side once it has been measured.
 """
 
 from __future__ import annotations
@@ -45,9 +46,12 @@ def period_diff(
 def cast_key_join(
     left: DataFrame, right: DataFrame, *, left_key: str, right_key: str, keep: Iterable[str]
 ) -> DataFrame:
-    """Inner join on the keys' text, adding the ``keep`` columns of ``right``."""
+    """Inner join on the keys' text, adding the ``keep`` columns of ``right``. Neither side
+    is broadcast, whatever Spark guesses their sizes to be."""
     text = right.select(F.col(right_key).cast("string").alias("__key"), *keep)
-    joined = left.join(text, F.col(left_key).cast("string") == F.col("__key"), "inner")
+    joined = left.join(
+        text.hint("merge"), F.col(left_key).cast("string") == F.col("__key"), "inner"
+    )
     return joined.drop("__key")
 
 
