@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from checks import census, registry  # noqa: F401
 from tractwise.operators import (
     cast_key_join, cross_dimension, period_diff, prefix_join, restrict_to, union_all,
 )
@@ -66,6 +67,12 @@ def test_cast_key_join_broadcasts_no_side_by_a_guess(spark, plan_of):
     assert rows(joined) == [(0, 0, "0"), (1, 2, "1"), (2, 4, "2")]
 
 
+@pytest.mark.parametrize(
+    "name", ["census_zip_non_labor", "census_zip_vuln_workers", "census_zip_xjoin_industries"])
+def test_products_of_zips_bring_no_area_to_the_driver(spark, plan_of, name):
+    assert "BroadcastExchange" not in plan_of(registry.QUERIES[name](spark, "/root/testdata/sf0.001"))
+
+
 def test_cross_dimension_both_ways(spark, plan_of):
     df = spark.createDataFrame([(i % 3, str(i)) for i in range(50)] + [(0, "0")] * 20, "k int, v string")
     dim = spark.createDataFrame([("a", 0.5), ("b", None), ("b", None)], "label string, rate double")

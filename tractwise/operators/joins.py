@@ -1,9 +1,9 @@
 """Joins.
 
-Joins on area ids shuffle both sides, with AQE splitting skewed partitions. Those that
-add columns say so by a hint: of a side with generated rows, outlines or outputs of a
-Python function Spark knows no size, only a guess from its files, and by that guess
-would bring it whole to the driver to broadcast it. Joins on a key of few values broadcast the
+Joins on area ids shuffle both sides, with AQE splitting skewed partitions. Those of
+vintages and those that add columns say so by a hint: of a side with generated rows, outlines
+or outputs of a Python function Spark knows no size, only a guess from its files, and by that
+guess would bring it whole to the driver to broadcast it. Joins on a key of few values broadcast the
 small side once it has been measured.
 """
 
@@ -31,14 +31,14 @@ def period_diff(
     """Change of ``measure`` between two vintages, for keys that have it in both.
 
     A change is NULL exactly when one measure is, so NULLs are filtered at the
-    scans and never shuffled.
+    scans and never shuffled. Neither vintage is broadcast.
     """
     now, before = (f"{measure}_{label}" for label in labels)
 
     def vintage(df: DataFrame, name: str) -> DataFrame:
         return df.where(F.col(measure).isNotNull()).select(key, F.col(measure).alias(name))
 
-    joined = vintage(current, now).join(vintage(previous, before), key, "inner")
+    joined = vintage(current, now).join(vintage(previous, before).hint("merge"), key, "inner")
     change = F.col(now) - F.col(before)
     return joined.select(key, now, before, change.alias(f"{measure}_diff"))
 
