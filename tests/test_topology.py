@@ -156,3 +156,12 @@ def test_arcs_are_the_same_for_every_ring(monkeypatch):
         mask = topology.kept_on_borders(lon, lat, np.array([len(one)]), own, 500.0)
         kept.add(frozenset(p for p, k in zip(one[:-1], mask) if k))
     assert len(kept) == 1
+
+
+def test_outlines_are_made_in_many_tasks_and_never_broadcast(spark, plan_of):
+    from checks import registry, shapes
+
+    # one small file of keys, which one task would read
+    outlines = shapes.areas(registry.Tables(spark, "/root/testdata/sf0.001"))
+    assert outlines.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert "BroadcastExchange" not in plan_of(simplify_coverage(outlines, "outline"))

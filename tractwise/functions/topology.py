@@ -13,49 +13,92 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from tractwise.functions.geometry import CHUNK_VERTICES, kept_vertices
 
 
-def _arcs(lon: np.ndarray, lat: np.ndarray, begin: int, end: int, junctions: np.ndarray) -> list[np.ndarray]:
-    """The arcs of the line from ``begin`` to ``end`` as indices, each in the direction and from the point that
-    any ring with the same vertices would take.
+def _closed(lon: np.ndarray, lat: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Which lines are rings: more than three vertices, the last of them the first."""
+    closed = lengths > 3
+    ends = np.cumsum(lengths)[closed]
+    begins = ends - lengths[closed]
+    closed[closed] = (lon[begins] == lon[ends - 1]) & (lat[begins] == lat[ends - 1])
+    return closed
+
+
+def _arcs(
+    lon: np.ndarray, lat: np.ndarray, lengths: np.ndarray, line: np.ndarray, place: np.ndarray
+) -> tuple[np.ndarray, ...]:
+    """The arcs of all lines; ``line`` and ``place`` (from the line's begin) are their junctions.
 
     An arc runs from junction to junction, towards the greater end point; a closed one
     towards the greater of its second points, and without a junction it starts at its
-    smallest vertex.
+    smallest vertex. So any ring with the same vertices would take it from the same point in
+    the same direction. Arrays by arc: begin of its line, vertices around the line, place of
+    the arc's first vertex, step (1 or -1) and number of vertices.
     """
+    begins = np.cumsum(lengths) - lengths
+    closed = _closed(lon, lat, lengths)
+    around = np.where(closed, lengths - 1, lengths)  # the closing vertex of a ring is its first one
+    open_lines = np.flatnonzero(~closed & (lengths > 0))
+    bare = closed.copy()
+    bare[line] = False
+    # the smallest vertex of each ring without a junction
+    bare = np.flatnonzero(bare)
+    owner = np.repeat(bare, around[bare])
+    inner = np.arange(len(owner)) - np.repeat(np.cumsum(around[bare]) - around[bare], around[bare])
+    vertex = begins[owner] + inner
+    order = np.lexsort((inner, lat[vertex], lon[vertex], owner))
+    smallest = inner[order[np.unique(owner[order], return_index=True)[1]]]
+    line = np.concatenate([line, bare, open_lines, open_lines])
+    place = np.concatenate([place, smallest, np.zeros(len(open_lines), np.int64), lengths[open_lines] - 1])
+    stops = np.unique(np.stack([line, place], 1), axis=0) if len(line) else np.zeros((0, 2), np.int64)
+    line, place = stops[:, 0], stops[:, 1]
+    if not len(line):
+        return (np.zeros(0, np.int64),) * 5
+    starts = np.append(True, line[1:] != line[:-1])
+    ends = np.append(starts[1:], True)
+    # the next stop of a ring's last one is its first one
+    following = np.append(place[1:], 0)
+    following[ends] = place[starts]
+    n = around[line]
+    size = np.where(closed[line], (following - place - 1) % n + 2, following - place + 1)
+    alone = starts & ends & ~closed[line]
+    size[alone] = 1
+    real = closed[line] | ~ends | alone
+    begin, n, place, size = begins[line][real], n[real], place[real], size[real]
+
     def at(i):
-        return lon[i], lat[i]
-
-    closed = end - begin > 3 and at(begin) == at(end - 1)
-    if not closed:
-        stops = np.unique(np.concatenate([[begin], junctions, [end - 1]]))
-        runs = [np.arange(a, b + 1) for a, b in zip(stops, stops[1:])] or [np.arange(begin, end)]
-    else:
-        n = end - 1 - begin  # the closing vertex is the first one
-        cycle = np.arange(begin, end - 1)
-        if not len(junctions):
-            junctions = cycle[np.lexsort((lat[cycle], lon[cycle]))[:1]]
-        runs = [begin + (a - begin + np.arange(((b - a - 1) % n) + 2)) % n
-                for a, b in zip(junctions, np.roll(junctions, -1))]
-    return [r[::-1] if len(r) > 1 and (at(r[-1]), at(r[-2])) < (at(r[0]), at(r[1])) else r for r in runs]
+        vertex = begin + (place + i) % n
+        return lon[vertex], lat[vertex]
+
+    less, even = np.zeros(len(size), bool), size > 1
+    for (last, first) in zip((*at(size - 1), *at(size - 2)), (*at(0), *at(1))):
+        less |= even & (last < first)
+        even &= last == first
+    return begin, n, np.where(less, place + size - 1, place), np.where(less, -1, 1), size
 
 
 def kept_on_borders(
     lon: np.ndarray, lat: np.ndarray, lengths: np.ndarray, marks: list[np.ndarray], tolerance_m: float
 ) -> np.ndarray:
     """Mask of the vertices that stay; ``marks`` are the places of each line's junctions, counted from its begin."""
+    line = np.repeat(np.arange(len(marks)), [len(own) for own in marks])
+    place = np.concatenate([np.zeros(0, np.int64), *marks]).astype(np.int64)
+    return _kept(lon, lat, lengths, line, place, tolerance_m)
+
+
+def _kept(
+    lon: np.ndarray, lat: np.ndarray, lengths: np.ndarray, line: np.ndarray, place: np.ndarray, tolerance_m: float
+) -> np.ndarray:
     keep = np.zeros(len(lon), bool)
-    ends = np.cumsum(lengths)
-    arcs = [arc for end, n, own in zip(ends, lengths, marks) if n
-            for arc in _arcs(lon, lat, end - n, end, end - n + own)]
-    first = 0
-    while first < len(arcs):
-        last, size = first, 0
-        while last < len(arcs) and (last == first or size + len(arcs[last]) <= CHUNK_VERTICES):
-            size += len(arcs[last])
-            last += 1
-        where = np.concatenate(arcs[first:last])
-        counts = np.fromiter(map(len, arcs[first:last]), np.int64, last - first)
+    begin, n, first, step, size = _arcs(lon, lat, lengths, line, place)
+    upto = np.cumsum(size)
+    a = 0
+    while a < len(size):  # a longer arc is still taken whole
+        b = max(a + 1, int(np.searchsorted(upto, upto[a] - size[a] + CHUNK_VERTICES, side="right")))
+        counts = size[a:b]
+        inner = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        of = np.repeat(np.arange(a, b), counts)
+        where = begin[of] + (first[of] + step[of] * inner) % n[of]
         keep[where[kept_vertices(lon[where], lat[where], counts, tolerance_m)]] = True
-        first = last
+        a = b
     return keep
 
 
@@ -74,31 +117,22 @@ def simplify_shared_arrow(shapes: pa.Array, marks: pa.Array, tolerance_m: float)
     upto = np.arange(len(lines) + 1)
     for _, lengths in reversed(levels[:-1]):
         upto = upto[np.concatenate([[0], np.cumsum(lengths)])]
-    own: list[np.ndarray] = [np.zeros(0, np.int64)] * len(lines)
-    for row, found in enumerate(marks.to_pylist()):
-        by_line: dict[int, list[int]] = {}
-        for mark in found or ():
-            by_line.setdefault(mark["line"], []).append(mark["place"])
-        for line, places in by_line.items():
-            own[upto[row] + line] = np.array(sorted(places), np.int64)
+    found = marks.flatten()
+    row = np.repeat(np.arange(len(marks)), pc.fill_null(pc.list_value_length(marks), 0).to_numpy(zero_copy_only=False))
+    line = upto[row] + found.field("line").to_numpy(zero_copy_only=False)
+    place = found.field("place").to_numpy(zero_copy_only=False).astype(np.int64)
     lon = inner.field("lon").to_numpy(zero_copy_only=False)
     lat = inner.field("lat").to_numpy(zero_copy_only=False)
-    keep = kept_on_borders(lon, lat, lines, own, tolerance_m)
+    keep = _kept(lon, lat, lines, line, place, tolerance_m)
     # a ring closes at the first vertex it keeps
-    ends = np.cumsum(lines)
-    chosen, counts = [], np.zeros(len(lines), np.int64)
-    for i, (end, n) in enumerate(zip(ends, lines)):
-        if n == 0:
-            continue
-        begin = end - n
-        if n > 3 and lon[begin] == lon[end - 1] and lat[begin] == lat[end - 1]:
-            stay = begin + np.flatnonzero(keep[begin: end - 1])
-            stay = np.append(stay, stay[0])
-        else:
-            stay = begin + np.flatnonzero(keep[begin:end])
-        chosen.append(stay)
-        counts[i] = len(stay)
-    inner = inner.take(pa.array(np.concatenate(chosen) if chosen else np.zeros(0, np.int64)))
+    ends, closed = np.cumsum(lines), _closed(lon, lat, lines)
+    keep[ends[closed] - 1] = False
+    upto_kept = np.concatenate([[0], np.cumsum(keep)])
+    counts = upto_kept[ends] - upto_kept[ends - lines]
+    stay = np.flatnonzero(keep)
+    stay = np.insert(stay, upto_kept[ends[closed]], stay[upto_kept[(ends - lines)[closed]]])
+    counts[closed] += 1
+    inner = inner.take(pa.array(stay))
     for depth, (array, lengths) in enumerate(reversed(levels)):
         sizes = counts if depth == 0 else lengths
         offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
@@ -119,24 +153,40 @@ def _lines(df: DataFrame, shape: str) -> Column:
     return column
 
 
-def _vertices(line: Column) -> Column:
-    """Each vertex of a line with its two neighbours, as a hash that does not depend on the direction. The
-    closing vertex of a ring is its first one and not listed."""
-    n = F.size(line)
-    closed = (n > 3) & (line[0] == line[n - 1])
-
-    def point(i: Column) -> Column:
-        return F.xxhash64(F.get(line, i)["lon"] + 0.0, F.get(line, i)["lat"] + 0.0)
-
-    def vertex(p: Column, i: Column) -> Column:
-        before = F.when(i > 0, point(i - 1)).when(closed, point(n - 2)).otherwise(F.lit(1).cast("bigint"))
-        after = F.when(i < n - 1, point(i + 1)).otherwise(F.lit(2).cast("bigint"))
-        return F.struct(
-            i.alias("place"), (p["lon"] + 0.0).alias("lon"), (p["lat"] + 0.0).alias("lat"),
-            F.xxhash64(F.least(before, after), F.greatest(before, after)).alias("pair"))
-
-    listed = F.transform(line, vertex)
-    return F.when(closed, F.slice(listed, 1, F.greatest(n - 1, F.lit(0)))).otherwise(listed)
+def _vertices(lines: DataFrame) -> DataFrame:
+    """Each vertex of the lines in ``__points`` with its two neighbours, as a hash that does not depend on the
+    direction. The closing vertex of a ring is its first one and not listed."""
+    points = F.col("__points")
+    n = F.size(points)
+    closed = F.coalesce((n > 3) & (points[0] == points[n - 1]), F.lit(False))
+    lines = lines.where(n > 0).withColumns({"__closed": closed, "__last": n - 1})
+    closed, last = F.col("__closed"), F.col("__last")
+    nothing = F.slice(points, 1, 0)
+
+    def part(begin, length):
+        return F.slice(points, begin, length)
+
+    # a list of neighbours beside the points, so that no lambda runs for each vertex
+    listed = F.when(closed, part(F.lit(1), last)).otherwise(points)
+    before = F.concat(
+        F.when(closed, part(last, F.lit(1))).otherwise(part(F.lit(1), F.lit(1))),
+        F.when(closed, part(F.lit(1), F.greatest(last - 1, F.lit(0)))).otherwise(part(F.lit(1), last)))
+    after = F.concat(part(F.lit(2), last), F.when(closed, nothing).otherwise(part(F.lit(1), F.lit(1))))
+    zipped = F.arrays_zip(listed.alias("p"), before.alias("before"), after.alias("after"))
+    names = [c for c in lines.columns if c not in ("__points", "__closed", "__last")]
+    rows = lines.select(*names, "__closed", "__last", F.posexplode(zipped).alias("place", "__v"))
+
+    def point(field: str) -> Column:
+        return F.xxhash64(F.col(f"__v.{field}.lon") + 0.0, F.col(f"__v.{field}.lat") + 0.0)
+
+    # the ends of an open line have one neighbour
+    one = F.when(closed | (F.col("place") > 0), point("before")).otherwise(F.lit(1).cast("bigint"))
+    other = F.when(closed | (F.col("place") < last), point("after")).otherwise(F.lit(2).cast("bigint"))
+    rows = rows.select(
+        *names, "place", (F.col("__v.p.lon") + 0.0).alias("lon"), (F.col("__v.p.lat") + 0.0).alias("lat"),
+        one.alias("__one"), other.alias("__other"))
+    pair = F.xxhash64(F.least("__one", "__other"), F.greatest("__one", "__other"))
+    return rows.select(*names, "place", "lon", "lat", pair.alias("pair"))
 
 
 def junctions(df: DataFrame, shape: str) -> DataFrame:
@@ -149,11 +199,12 @@ def junctions(df: DataFrame, shape: str) -> DataFrame:
     """
     lines = df.where(F.col(shape).isNotNull()).select(
         *_hashes(df, shape), F.posexplode(_lines(df, shape)).alias("line", "__points"))
-    vertices = lines.select("g1", "g2", "line", F.inline(_vertices(F.col("__points"))))
+    vertices = _vertices(lines)
     parting = vertices.groupBy(F.col("lon").alias("__lon"), F.col("lat").alias("__lat")).agg(
         F.min("pair").alias("low"), F.max("pair").alias("high")).where("low != high").select("__lon", "__lat")
     there = (F.col("lon") == F.col("__lon")) & (F.col("lat") == F.col("__lat"))
-    return vertices.join(parting, there).groupBy("g1", "g2").agg(
+    # Spark would guess the sizes of both sides by the files of the shapes: neither is broadcast
+    return vertices.join(parting.hint("merge"), there).groupBy("g1", "g2").agg(
         F.collect_set(F.struct("line", "place")).alias("marks"))
 
 
@@ -174,7 +225,7 @@ def simplified_together(df: DataFrame, shape: str, output: str, tolerance_m: flo
     g1, g2 = _hashes(df, shape)
     names = [c for c in df.columns if c != output]
     place = df.columns.index(output) if output in df.columns else len(names)
-    joined = df.join(marks, (g1 == F.col("__g1")) & (g2 == F.col("__g2")), "left")
+    joined = df.join(marks.hint("merge"), (g1 == F.col("__g1")) & (g2 == F.col("__g2")), "left")
     columns = [F.col(f"`{c}`") for c in names]
     columns.insert(place, simple.alias(output))
     return joined.select(*columns)
