@@ -494,17 +494,21 @@ def _(t):
     return scored.withColumn("predicted_price", F.round("predicted_price", 3))
 
 
+#: Rows that one task of a repartition takes, or so: some 50 MB.
+ROWS_A_TASK = 1_000_000
+
+
 @check("automl_fit", """
   select l_orderkey, l_linenumber, round(3.0 * l_quantity - 2.0 * l_discount + 100.0 * l_tax, 3) as predicted_label
   from lineitem""")
 def _(t):
     # All default candidates are searched; the label is a plane, which one of them can meet.
-    # The search reads its table many times: store it in as many files as there are cores.
-    cores = t.spark.sparkContext.defaultParallelism
+    # The search reads its table many times: store it in as many files as there are cores, more if it is large.
+    tasks = max(t.spark.sparkContext.defaultParallelism, -(-t.lineitem.count() // ROWS_A_TASK))
     lines = t.stored(t.lineitem.select(
         *LINE, "l_returnflag", "l_quantity", "l_discount", "l_tax",
         F.expr("3.0D * l_quantity - 2.0D * l_discount + 100.0D * l_tax").alias("label"),
-    ).repartition(cores))
+    ).repartition(tasks))
     model = models.fit_best(
         lines, label="label", numeric=["l_quantity", "l_discount", "l_tax"], categorical=["l_returnflag"])
     return models.predict(lines, model).select(*LINE, F.round("predicted_label", 3).alias("predicted_label"))

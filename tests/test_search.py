@@ -4,7 +4,7 @@ import pytest
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import functions as F
 
-from tractwise.operators import fit_best, predict
+from tractwise.operators import fit_best, models, predict
 from tractwise.operators.models import _with_share
 
 
@@ -58,3 +58,12 @@ def test_ties_go_to_the_first(rows):
     same = [DecisionTreeRegressor(maxDepth=5), DecisionTreeRegressor(maxDepth=4)]
     model = fit_best(rows, label="step", numeric=["a", "b"], categorical=["c"], candidates=same, parallelism=2)
     assert model.stages[-1].getMaxDepth() == 5
+
+
+def test_stored_vectors_take_the_room_of_their_values(rows, tmp_path, monkeypatch):
+    # encoded, ten thousand equal rows are one: a task would read, and the trees keep, any number of them
+    monkeypatch.setattr(models, "scratch_path", lambda spark, name: str(tmp_path / name))
+    many = rows.crossJoin(rows.sparkSession.range(20).select(F.col("id").alias("copy")))
+    fit_best(many, label="plane", numeric=["a", "b"], candidates=[LinearRegression(), LinearRegression(regParam=1.0)])
+    size = sum(f.stat().st_size for f in (tmp_path / "vectors").glob("*.parquet"))
+    assert size > 1200 * 20 * 3 * 8

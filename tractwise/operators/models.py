@@ -33,6 +33,10 @@ FILLED = "__filled_"
 #: Bins of the default trees; more are taken where a category has more values.
 MAX_BINS = 128
 
+#: Stored vectors take in files what they hold: the trees keep in memory what a task reads, and as
+#: encoded values, few of which differ, a hundred times as many rows would be read by one.
+PLAIN_FILES = {"compression": "none", "parquet.enable.dictionary": "false", "parquet.block.size": str(16 << 20)}
+
 
 #: A number, or NULL where it is NaN or infinite.
 KNOWN = ("case when abs(cast(`{0}` as double)) < double('infinity') and not isnan(cast(`{0}` as double))"
@@ -246,7 +250,7 @@ def fit_best(
     best = 0
     if len(regressors) > 1:
         path = scratch_path(df.sparkSession, "vectors")
-        assembled.write.parquet(path)
+        assembled.write.options(**PLAIN_FILES).parquet(path)
         # the schema keeps what the assembler wrote about categories
         assembled = df.sparkSession.read.schema(assembled.schema).parquet(path)
         sides = {r["__training"] for r in assembled.select("__training").distinct().collect()}
