@@ -415,3 +415,24 @@ def test_scores_equal_brute_force_whatever_is_broadcast(spark):
         got = sorted((r.doc_id is None, r.doc_id or 0, r.n_tokens, r.target_loss or 0, r.background_loss or 0)
                      for r in lmscore.cross_entropy_difference(table, chosen_column="good", share=share).collect())
         assert len(got) == len(want) and np.allclose(np.array(got, float), np.array(want, float), atol=1e-9)
+
+
+def test_a_group_of_variants_takes_few_edit_distances(spark, monkeypatch):
+    """Variants that the leaders leave apart are linked by their nearest ones, not all compared with all."""
+    rng, base = random.Random(5), [f"w{i:04}" for i in range(60)]
+    texts = [" ".join(f"x{rng.randrange(10 ** 4):04}" if rng.random() < 0.08 else w for w in base) for _ in range(200)]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    compared, similar_lines = [], lines.similar_lines
+
+    def counted(pairs, *rest):
+        pairs = pairs.localCheckpoint()
+        compared.append(pairs.count())
+        return similar_lines(pairs, *rest)
+
+    monkeypatch.setattr(lines, "similar_lines", counted)
+    monkeypatch.setattr(lines, "CROWD", 1)
+    got = {r.doc_id: r.keeper_doc for r in lines.duplicate_lines(table).collect()}
+    monkeypatch.setattr(lines, "CROWD", 10 ** 6)
+    first = len(compared)
+    assert got == {r.doc_id: r.keeper_doc for r in lines.duplicate_lines(table).collect()} and len(got) > 100
+    assert 4 * sum(compared[:first]) < 3 * sum(compared[first:])

@@ -25,6 +25,11 @@ WORDS, FEW = 4, 12
 SPACES = "\t\n\x0b\f\r"
 #: Two lines are compared if at most so many of the 224 bits of their signatures differ.
 NEAR_BITS = 64
+#: Where a line shares its keys with more than ``CROWD`` lines, on average, rounds first compare every line with
+#: its nearest candidate; they end at ``EACH`` candidates a line or when fewer than one comparison in ``HITS`` links.
+CROWD, EACH, HITS = 300, 8, 20
+#: Edit distances are dealt to tasks of so many pairs.
+PAIRS = 4000
 
 
 def _long(bits: int) -> Column:
@@ -175,12 +180,15 @@ def _with_signatures(pairs: DataFrame, groups: DataFrame, stored: Stored) -> Dat
     return pairs
 
 
+def _bits() -> Column:
+    return sum((F.bit_count(F.col(f"{c}_u").bitwiseXOR(F.col(f"{c}_v"))) for c in PACKED), F.lit(0))
+
+
 def _near(similarity: float) -> Column:
     """Whether lengths and signatures leave room for the edit similarity."""
     longer = F.greatest("size_u", "size_v")
     apart = F.abs(F.col("size_u") - F.col("size_v")) <= F.floor(longer * F.lit(1 - similarity) + F.lit(1e-9))
-    bits = sum((F.bit_count(F.col(f"{c}_u").bitwiseXOR(F.col(f"{c}_v"))) for c in PACKED), F.lit(0))
-    return apart & (bits <= NEAR_BITS)
+    return apart & (_bits() <= NEAR_BITS)
 
 
 def buckets(groups: DataFrame, stored: Stored) -> tuple[DataFrame, DataFrame]:
@@ -200,18 +208,68 @@ def buckets(groups: DataFrame, stored: Stored) -> tuple[DataFrame, DataFrame]:
     return stored(pairs.distinct()), members.select("key", "u")
 
 
-def other_pairs(members: DataFrame, linked: DataFrame, groups: DataFrame, similarity: float, stored: Stored) -> DataFrame:
-    """Near pairs of lines that share a key and that ``linked`` components do not yet connect."""
+def _candidates(
+    members: DataFrame, linked: DataFrame, groups: DataFrame, similarity: float, stored: Stored, after: DataFrame | None,
+) -> DataFrame:
+    """``u``, ``v``, ``bits`` of near pairs of lines that share a key and that ``linked`` components do not yet
+    connect, once for each key; with ``after``, what a round compared, only of its lines ``u``, and those later in order."""
     lines = members.select("u").distinct().join(replicated_if_small(linked), F.col("u") == F.col("node"), "left").select(
         F.col("u").alias("h1"), F.coalesce("component", "u").alias("component"))
     known = stored(groups.select("h1", "size", *PACKED).join(replicated_if_small(stored(lines)), "h1").dropDuplicates(["h1"]))
 
     def side(end: str) -> DataFrame:
         own = known.select(F.col("h1").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in ("component", "size", *PACKED)])
+        if after is not None and end == "u":
+            own = own.join(replicated_if_small(after.select("u", "last")), "u")
         return members.select(F.col("key").alias(f"key_{end}"), F.col("u").alias(end)).join(replicated_if_small(own), end)
 
     apart = (F.col("u") < F.col("v")) & (F.col("component_u") != F.col("component_v")) & (F.col("key_u") == F.col("key_v"))
-    return side("u").join(side("v"), apart & _near(similarity)).select("u", "v").distinct()
+    if after is not None:
+        apart = apart & (F.struct(_bits().alias("bits"), "v") > F.col("last"))
+    return side("u").join(side("v"), apart & _near(similarity)).select("u", "v", _bits().alias("bits"))
+
+
+def nearest_pairs(
+    members: DataFrame, linked: DataFrame, groups: DataFrame, similarity: float, stored: Stored, after: DataFrame | None = None,
+) -> DataFrame:
+    """Of each line ``u`` that has candidates their number ``n`` and the nearest, by differing bits, as ``v`` and ``last``."""
+    found = _candidates(members, linked, groups, similarity, stored, after).groupBy("u").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("bits", "v")).alias("last"))
+    return stored(found.select("u", F.col("last.v").alias("v"), "n", "last"))
+
+
+def other_pairs(
+    members: DataFrame, linked: DataFrame, groups: DataFrame, similarity: float, stored: Stored, after: DataFrame | None = None,
+) -> DataFrame:
+    """Near pairs of lines that share a key and that ``linked`` components do not yet connect."""
+    return _candidates(members, linked, groups, similarity, stored, after).select("u", "v").distinct()
+
+
+def all_links(
+    links: DataFrame, members: DataFrame, docs: DataFrame, groups: DataFrame, similarity: float, stored: Stored,
+) -> DataFrame:
+    """``links`` and what else it takes to connect all similar lines that share a key.
+
+    Where a key holds many lines that the leaders leave apart, every line is compared with
+    its nearest candidate first, then with the next one of another component: most of a
+    group is one component after few comparisons, and only what is still apart when these
+    stop to link is compared pair by pair.
+    """
+    linked, after = components(links, stored), None
+    shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).agg(F.sum(F.col("n") * F.col("n")), F.sum("n")).first()
+    crowded = (shared[0] or 0) > CROWD * (shared[1] or 0)
+    while crowded:
+        nearest = nearest_pairs(members, linked, groups, similarity, stored, after)
+        n, candidates = nearest.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+        if candidates <= EACH * n:
+            break
+        found = similar_lines(nearest.select("u", "v"), docs, groups, similarity, stored)
+        links, after = stored(links.unionByName(found)), nearest
+        linked = components(links, stored)
+        if found.count() * HITS < n:
+            break
+    rest = other_pairs(members, linked, groups, similarity, stored, after)
+    return links.unionByName(similar_lines(rest, docs, groups, similarity, stored))
 
 
 def _without_common_ends(pairs: DataFrame, keep: list[str]) -> DataFrame:
@@ -221,20 +279,21 @@ def _without_common_ends(pairs: DataFrame, keep: list[str]) -> DataFrame:
     What is left has the edit distance of the whole lines: each word keeps the space
     after it, and no best alignment changes a common begin or end.
     """
-    differs = F.array_position(F.zip_with("a", "b", lambda x, y: x.eqNullSafe(y)), F.lit(False))
+    def differs(a: Column, b: Column) -> Column:
+        return F.array_position(F.zip_with(a, b, lambda x, y: x.eqNullSafe(y)), F.lit(False))
 
     def rest(words: str) -> Column:
         # equal lines differ nowhere: position 0, nothing is left
-        n = F.when(F.col("at") > 0, F.greatest(F.size(words) - F.col("at") + 1, F.lit(0))).otherwise(0)
+        behind = F.least(F.col("back") - 1, F.least(F.size("a"), F.size("b")) - F.col("at") + 1)
+        n = F.when(F.col("at") > 0, F.size(words) - F.col("at") + 1 - behind).otherwise(0)
         return F.slice(words, F.greatest("at", F.lit(1)).cast("int"), n.cast("int"))
 
     def joined(words: str) -> Column:
         return F.when(F.size(words) > 0, F.concat(F.array_join(words, " "), F.lit(" "))).otherwise("")
 
     now = _step(pairs, keep, a=F.split("lu", " "), b=F.split("lv", " "))
-    for _ in range(2):  # from the begin, then from the end: reversed twice, the words stand in order
-        now = _step(now, [*keep, "a", "b"], at=differs)
-        now = _step(now, keep, a=F.reverse(rest("a")), b=F.reverse(rest("b")))
+    now = _step(now, [*keep, "a", "b"], at=differs(F.col("a"), F.col("b")), back=differs(F.reverse("a"), F.reverse("b")))
+    now = _step(now, keep, a=rest("a"), b=rest("b"))
     # word by word, a way of editing: the distance is at most that, and mostly it is
     changes = F.aggregate(
         F.zip_with("a", "b", lambda x, y: F.when(x == y, 0).otherwise(F.levenshtein(x, y))), F.lit(0), lambda total, n: total + n)
@@ -247,6 +306,7 @@ def similar_lines(pairs: DataFrame, docs: DataFrame, groups: DataFrame, similari
     The text of a line is taken from one of its places.
     """
     pairs = stored(pairs)
+    tasks = -(-pairs.count() // PAIRS) or 1
     ends = pairs.select(F.col("u").alias("h1")).unionByName(pairs.select(F.col("v").alias("h1"))).distinct()
     places = groups.join(ends, "h1").groupBy("h1").agg(F.min("first").alias("first")).select(
         "h1", F.col("first.doc_id").alias("doc_id"), F.col("first.pos").alias("pos"))
@@ -261,12 +321,13 @@ def similar_lines(pairs: DataFrame, docs: DataFrame, groups: DataFrame, similari
     both = (
         pairs.join(texts.select(F.col("h1").alias("u"), F.col("line").alias("lu")), "u")
         .join(texts.select(F.col("h1").alias("v"), F.col("line").alias("lv")), "v")
-        .where(apart <= allowed).withColumn("allowed", allowed))
+        .where(apart <= allowed).withColumn("allowed", allowed)
+        .repartition(tasks, "u", "v"))  # a line of many pairs would keep one task busy
     # the distance takes time in proportion to length times limit, so only what differs is compared
     cut = _without_common_ends(both, ["u", "v", "allowed"])
     close = (longer <= F.col("allowed")) | (F.coalesce("by_words", F.col("allowed") + 1) <= F.col("allowed"))
-    for limit in (16, 64):  # most similar lines are found within few edits; only the others take the whole limit
-        close = close | (F.call_function("levenshtein", "lu", "lv", F.least("allowed", F.lit(limit))) >= 0)
+    for below, limit in ((-1, 16), (16, 64)):  # most similar lines are found within few edits; only the others take the whole limit
+        close = close | ((F.col("allowed") > below) & (F.call_function("levenshtein", "lu", "lv", F.least("allowed", F.lit(limit))) >= 0))
     close = close | ((F.col("allowed") > 64) & (F.call_function("levenshtein", "lu", "lv", F.col("allowed")) >= 0))
     return stored(cut.where(close).select("u", "v"))
 
@@ -295,11 +356,13 @@ def duplicate_lines(
     groups = stored(lines.groupBy("h1", "h2").agg(
         F.count(F.lit(1)).alias("n"), first, *[F.any_value(c).alias(c) for c in ("size", *PACKED, "counts")]))
     pairs, members = buckets(groups, stored)
-    near = _with_signatures(pairs, groups, stored).where(_near(similarity)).select("u", "v")
+    # all lines that share a key: what is compared is looked up among them
+    ends = pairs.select(F.col("u").alias("h1")).unionByName(pairs.select(F.col("v").alias("h1"))).distinct()
+    known = stored(groups.join(replicated_if_small(stored(ends)), "h1"))
+    near = _with_signatures(pairs, known, stored).where(_near(similarity)).select("u", "v")
     # what the leaders connect needs no more comparing, so a bucket of copies stays cheap
-    links = similar_lines(near, docs, groups, similarity, stored)
-    rest = other_pairs(members, components(links, stored), groups, similarity, stored)
-    linked = components(links.unionByName(similar_lines(rest, docs, groups, similarity, stored)), stored)
+    links = similar_lines(near, docs, known, similarity, stored)
+    linked = components(all_links(links, members, docs, known, similarity, stored), stored)
     # a group found alone keeps its own first line; a component keeps the first of its groups
     united = stored(groups.join(replicated_if_small(linked), groups["h1"] == linked["node"], "left").where(
         "n > 1 or component is not null").select("h1", "h2", "first", "component"))
