@@ -503,12 +503,15 @@ ROWS_A_TASK = 1_000_000
   from lineitem""")
 def _(t):
     # All default candidates are searched; the label is a plane, which one of them can meet.
-    # The search reads its table many times: store it in as many files as there are cores, more if it is large.
-    tasks = max(t.spark.sparkContext.defaultParallelism, -(-t.lineitem.count() // ROWS_A_TASK))
-    lines = t.stored(t.lineitem.select(
+    # The search reads its table many times: one that is not dealt evenly over the cores is stored first,
+    # in as many files as there are cores, more if it is large.
+    cores = t.spark.sparkContext.defaultParallelism
+    held = [r["count"] for r in t.lineitem.groupBy(F.spark_partition_id()).count().collect()]
+    lines = t.lineitem.select(
         *LINE, "l_returnflag", "l_quantity", "l_discount", "l_tax",
-        F.expr("3.0D * l_quantity - 2.0D * l_discount + 100.0D * l_tax").alias("label"),
-    ).repartition(tasks))
+        F.expr("3.0D * l_quantity - 2.0D * l_discount + 100.0D * l_tax").alias("label"))
+    if max(held, default=0) * cores > 2 * sum(held):
+        lines = t.stored(lines.repartition(max(cores, -(-sum(held) // ROWS_A_TASK))))
     model = models.fit_best(
         lines, label="label", numeric=["l_quantity", "l_discount", "l_tax"], categorical=["l_returnflag"])
     return models.predict(lines, model).select(*LINE, F.round("predicted_label", 3).alias("predicted_label"))

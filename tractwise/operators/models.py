@@ -13,7 +13,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
-from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import (
     OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler, VectorSlicer,
@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tractwise.columns import GRADUATES, MEASURE, SHARE
 from tractwise.functions.arithmetic import hash_uniform, round_int, safe_divide
+from tractwise.operators.histogram_trees import HistogramTrees
 from tractwise.session import scratch_path, shared_dir
 from tractwise.sources.versions import current_path, publish_folder
 
@@ -33,6 +34,9 @@ FILLED = "__filled_"
 #: Bins of the default trees; more are taken where a category has more values.
 MAX_BINS = 128
 
+#: Rows from which trees are grown from stored blocks of bins; MLlib, faster on fewer rows, keeps all of them as objects.
+MANY_ROWS = 2_000_000
+
 #: Stored vectors take in files what they hold: the trees keep in memory what a task reads, and as
 #: encoded values, few of which differ, a hundred times as many rows would be read by one.
 PLAIN_FILES = {"compression": "none", "parquet.enable.dictionary": "false", "parquet.block.size": str(16 << 20)}
@@ -159,9 +163,13 @@ def _with_share(regressor: Estimator, share: float) -> Estimator:
     return regressor
 
 
+def _fitted(regressor: Estimator, rows: DataFrame, trees: HistogramTrees | None) -> Model:
+    return trees.fit(regressor) if trees and trees.can_fit(regressor) else regressor.fit(rows)
+
+
 def search(
     regressors: Sequence[Estimator], training: DataFrame, validation: DataFrame, *, prediction: str = PREDICTION,
-    shrink: int = 3, parallelism: int = 4, budget_seconds: float | None = None,
+    shrink: int = 3, parallelism: int = 4, budget_seconds: float | None = None, trees: HistogramTrees | None = None,
 ) -> tuple[int, list[Trial]]:
     """The place of the best regressor by validation RMSE, and all trials.
 
@@ -170,7 +178,7 @@ def search(
     go on with ``shrink`` times as much, until the last ones are fitted whole. Rows are
     never sampled. ``parallelism`` fits run at a time, as jobs of one session; after
     ``budget_seconds`` no further fit begins, and the best of the latest round with a
-    result wins. Ties go to the first candidate.
+    result wins. Ties go to the first candidate. ``trees`` fits those regressors it can.
     """
     evaluator = RegressionEvaluator(labelCol="__label", predictionCol=prediction, metricName="rmse")
     began = time.monotonic()
@@ -182,7 +190,7 @@ def search(
         if not in_time() and (place, share) != first:
             return None
         start = time.monotonic()
-        model = _with_share(regressors[place], share).fit(training)
+        model = _fitted(_with_share(regressors[place], share), training, trees)
         rmse = evaluator.evaluate(model.transform(validation))
         return Trial(place, type(regressors[place]).__name__, share, rmse, time.monotonic() - start)
 
@@ -218,6 +226,7 @@ def fit_best(
     parallelism: int = 4,
     budget_seconds: float | None = None,
     trials: list[Trial] | None = None,
+    many_rows: int = MANY_ROWS,
 ) -> PipelineModel:
     """The candidate with the least validation RMSE, fitted again on all rows.
 
@@ -225,7 +234,9 @@ def fit_best(
     ``search``, whose trials are added to ``trials``. Features are assembled once into
     stored (label, vector) rows that all fits read. Rows are split by a hash of their
     values, so a recomputed partition splits the same way and copies of a row
-    stay on one side. Boosted trees cut their lineage in the shared folder.
+    stay on one side. From ``many_rows`` on trees are grown by ``HistogramTrees``, else by
+    MLlib; the draws of a forest differ between the two. Boosted trees cut their lineage in
+    the shared folder.
     """
     shared_dir(df.sparkSession)
     features = [*numeric, *categorical]
@@ -247,21 +258,26 @@ def fit_best(
     assembled = prepared.transform(rows.withColumn("__training", in_training)).select(
         "__label", VECTOR, "__training"
     )
-    best = 0
+    best, whole = 0, None
     if len(regressors) > 1:
         path = scratch_path(df.sparkSession, "vectors")
         assembled.write.options(**PLAIN_FILES).parquet(path)
         # the schema keeps what the assembler wrote about categories
         assembled = df.sparkSession.read.schema(assembled.schema).parquet(path)
-        sides = {r["__training"] for r in assembled.select("__training").distinct().collect()}
+        sides = {r["__training"]: r["count"] for r in assembled.groupBy("__training").count().collect()}
         if len(sides) < 2:
             raise ValueError("too few rows to hold some back: give one candidate, or more rows")
+        training, rows_stored = assembled.where("__training"), sum(sides.values())
+        many = rows_stored >= many_rows
         best, made = search(
-            regressors, assembled.where("__training"), assembled.where("not __training"), prediction=prediction,
-            shrink=shrink, parallelism=parallelism, budget_seconds=budget_seconds)
+            regressors, training, assembled.where("not __training"), prediction=prediction,
+            shrink=shrink, parallelism=parallelism, budget_seconds=budget_seconds,
+            trees=HistogramTrees(training, sides[True], label="__label", vector=VECTOR) if many else None)
         if trials is not None:
             trials += made
-    return PipelineModel(stages=[*prepared.stages, regressors[best].fit(assembled)])
+        if many:
+            whole = HistogramTrees(assembled, rows_stored, label="__label", vector=VECTOR)
+    return PipelineModel(stages=[*prepared.stages, _fitted(regressors[best], assembled, whole)])
 
 
 def predict(df: DataFrame, model: PipelineModel, *, prediction: str = PREDICTION) -> DataFrame:
