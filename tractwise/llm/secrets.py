@@ -144,8 +144,10 @@ def train(labelled: DataFrame, *, max_labelled: int = 20_000, trees: int = 30, d
     half = [rows.where(F.col("label") == x).orderBy(order).limit(max_labelled // 2) for x in (0, 1)]
     forest = RandomForestClassifier(
         numTrees=trees, maxDepth=depth, seed=seed, labelCol="label", featuresCol="features")
-    return Pipeline(stages=[
+    fitted = Pipeline(stages=[
         VectorAssembler(inputCols=list(FEATURES), outputCol="features"), forest]).fit(half[0].unionByName(half[1]))
+    # a copy has no training summary, which holds the session: one that has observed anything cannot go to tasks
+    return PipelineModel(stages=[*fitted.stages[:-1], fitted.stages[-1].copy()])
 
 
 def scan(found: DataFrame, model: PipelineModel | None, threshold: float = 0.5) -> DataFrame:
